@@ -32,7 +32,7 @@ END_ID, SHARD_IDS = 1, 4_000_000
 CACHE = 1_200_000
 #: The mark of a pre-token's last id in this vocabulary.
 WORD_END = "</w>"
-_PLAIN = re.compile(rb"([A-Za-z]+)[.,;:!?#*$%&|]*")
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)[.,;:!?#*$%&|]*")
 MAGIC = b"WMX1"
 
 
@@ -148,10 +148,9 @@ class WordEncoder:
     def _add(self, words: list[bytes]) -> None:
         """Learn the ids of new words. Words of letters and a trailing mark go to the library many at a time: each has as many pre-tokens as parts, and a pre-token ends where an id that ends a word stands."""
         plain, parts, other = [], [], []
-        for w in words:
-            m = _PLAIN.fullmatch(w)
-            if m:
-                plain.append(w.decode())
+        for w in map(bytes.decode, words):
+            if m := _PLAIN.fullmatch(w):
+                plain.append(w)
                 parts.append(1 + (m.end(1) < len(w)))
             else:
                 other.append(w)
@@ -164,7 +163,7 @@ class WordEncoder:
                 sizes = np.diff(np.concatenate([[0], ends[np.cumsum(parts) - 1]]))
             else:  # not the kind of tokenizer whose last ids are marked
                 ids, sizes = self._encoded(plain)
-        more, more_sizes = self._encoded([w.decode() for w in other])
+        more, more_sizes = self._encoded(other)
         ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
         k, n = len(self.place), len(words)
         while self.used + len(ids) > len(self.flat):
@@ -174,7 +173,7 @@ class WordEncoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.start[k + 1 : k + n + 1] = self.used + np.cumsum(sizes)
         self.used += len(ids)
-        self.place.update(zip(itertools.chain(map(str.encode, plain), other), range(k, k + n)))
+        self.place.update(zip(map(str.encode, [*plain, *other]), range(k, k + n)))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each has."""
