@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from confluo.functions.text import tokens
 
@@ -23,7 +24,7 @@ def common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([common_subsequence(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
 

@@ -9,6 +9,7 @@ from functools import cache, reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The words and patterns of the data contract.
 LEGAL_SUFFIXES = ["llc", "inc", "incorporated", "corp", "corporation", "ltd", "limited", "pvt", "private", "plc", "pllc", "llp", "lp", "co", "company", "gmbh", "sarl", "sas"]
@@ -52,7 +53,7 @@ def fold_text(text: str) -> str:
     return "".join(c if c < "\x80" else latin_to_ascii(c) for c in unicodedata.normalize("NFC", text))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _folded(s: pd.Series) -> pd.Series:
     return s.map(fold_text, na_action="ignore")
 
@@ -145,7 +146,7 @@ def tokens(clean: Column) -> Column:
 
 def parse_list(c: Column) -> Column:
     """The trimmed, non-blank parts of a comma list; the text nan counts as blank."""
-    parts = F.filter(F.transform(F.split(blank(c), ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(blank(c), ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.trim(blank(c)) == "nan", F.array().cast("array<string>")).otherwise(parts)
 
 
