@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from confluo.llm.common import MULT, documents, map_arrow, mixed, shingles, utf8, word_hashes, written
 
 SPAN, GRAM = 35, 8
-SHARD_WORDS, HOT = 40_000, 256
+SHARD_WORDS, HOT = 40_000, 4096
 
 
 def _powers(n: int) -> np.ndarray:
