@@ -134,11 +134,7 @@ class WordEncoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.kind = np.uint16 if len(self.last) <= 1 << 16 else np.uint32
-        self._reset()
-
-    def _reset(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.flat, self.start, self.used = np.zeros(1 << 20, self.kind), np.zeros(1 << 18, np.int64), 0
+        self.ids_of: dict[bytes, bytes] = {}
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, each encoded alone, and how many each has."""
@@ -165,33 +161,20 @@ class WordEncoder:
                 ids, sizes = self._encoded(plain)
         more, more_sizes = self._encoded(other)
         ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
-        k, n = len(self.place), len(words)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while k + n + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[k + 1 : k + n + 1] = self.used + np.cumsum(sizes)
-        self.used += len(ids)
-        self.place.update(zip(map(str.encode, [*plain, *other]), range(k, k + n)))
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after another, and how many each has."""
+        raw, ends = ids.astype(self.kind).tobytes(), np.cumsum(sizes) * self.kind().itemsize
+        ends = ends.tolist()
+        self.ids_of.update(zip(map(str.encode, [*plain, *other]), map(raw.__getitem__, map(slice, [0, *ends], ends))))
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
         split = [t.split() for t in texts]
-        words = list(itertools.chain.from_iterable(split))
-        if new := set(words).difference(self.place):
-            if len(self.place) + len(new) > self.limit and self.place:
-                self._reset()
-                new = set(words)
+        if new := set(itertools.chain.from_iterable(split)).difference(self.ids_of):
+            if len(self.ids_of) + len(new) > self.limit and self.ids_of:
+                self.ids_of.clear()
+                new = set(itertools.chain.from_iterable(split))
             self._add(list(new))
-        place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        starts = self.start[place]
-        sizes = self.start[place + 1] - starts
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
-        per_word = np.concatenate([[0], ends])
-        return ids, np.diff(per_word[np.cumsum([0, *map(len, split)])])
+        one = self.ids_of.__getitem__
+        return [np.frombuffer(b"".join(map(one, words)), self.kind) for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -217,13 +200,12 @@ def write_shards(docs: DataFrame, path: str, out: str, end_id: int = END_ID, sha
 
         for batch in batches:
             names_type = batch.schema.field("doc_id").type
-            ids, n = encoder.encode(batch.column("text").to_pylist())
-            at = np.concatenate([[0], np.cumsum(n)])
-            for i, name in enumerate(batch.column("doc_id").to_pylist()):
-                chunks += [ids[at[i] : at[i + 1]], np.array([end_id], ids.dtype)]
+            end = np.array([end_id], encoder.kind)
+            for name, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+                chunks += [ids, end]
                 names.append(name)
-                sizes.append(int(n[i]) + 1)
-                held += int(n[i]) + 1
+                sizes.append(len(ids) + 1)
+                held += len(ids) + 1
                 if held >= shard_ids:
                     yield closed()
                     row += len(names)
