@@ -5,8 +5,10 @@ Words are runs outside ASCII white space, A-Z in lower case; a set holds the dis
 Every class has SIZE minhash digits; tree t orders the classes by the digits from 4 t on. Classes that
 share the first four digits of a tree are a region; regions of one class end there. Candidates are
 
-- LCP neighbours: each class with the next NEAR in the tree's order (range-partitioned, so a hot region
-  spreads over tasks; the ends of partitions are joined in a small second pass), and
+- LCP neighbours: each class with the next NEAR in the tree's order, or the next CLOSE in a region of over
+  DENSE classes, where the longest common prefixes stand beside each other anyway (the order is
+  range-partitioned, so a hot region spreads over tasks; the ends of partitions are joined in a small
+  second pass), and
 - each class with the leader of its region: the one with the most company over all trees, which is the
   hub if a region holds edited copies of one text. Regions of over DENSE classes are cut at deeper
   prefixes (6, 8 and 12 digits), each with its own leader.
@@ -33,7 +35,7 @@ from confluo.llm.common import documents, map_arrow, shingles, utf8, word_hashes
 from confluo.llm.graph import components
 
 K, SIZE, TREES, DEPTH = 5, 128, 32, 4
-NEAR, DENSE, LEAST, SALT = 7, 16, 62, 256
+NEAR, CLOSE, DENSE, LEAST, SALT = 7, 1, 16, 62, 256
 PERCENT = 75
 
 _RNG = np.random.default_rng(20_011)
@@ -85,37 +87,38 @@ def profiles(docs: DataFrame) -> DataFrame:
 
 
 def _neighbours(order: DataFrame) -> DataFrame:
-    """a, b: rows of order (region, digits, c) at most NEAR apart in the sorted order and in the same region."""
+    """a, b: rows of order (region, size, digits, c) at most NEAR apart, CLOSE in a dense region, in the sorted order and in the same region."""
 
     def scan(batches):
         import pyarrow as pa
 
-        form = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.int64()), ("digits", pa.binary())])
-        region, c, digits, first, n = np.zeros(0, np.int64), np.zeros(0, np.int64), [], True, 0
+        form = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.int64()), ("size", pa.int64()), ("digits", pa.binary())])
+        region, size, c, digits, first, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), [], True, 0
         for batch in batches:
             n += batch.num_rows
-            region, c, digits = np.concatenate([region, batch.column("region").to_numpy()]), np.concatenate([c, batch.column("c").to_numpy()]), digits + batch.column("digits").to_pylist()
+            region, size, c = (np.concatenate([x, batch.column(k).to_numpy()]) for k, x in (("region", region), ("size", size), ("c", c)))
+            digits = digits + batch.column("digits").to_pylist()
             new = len(c) - batch.num_rows
             a, b = [], []
             for d in range(1, NEAR + 1):
                 at = np.arange(max(new, d), len(c))
-                at = at[region[at] == region[at - d]]
+                at = at[(region[at] == region[at - d]) & ((d <= CLOSE) | (size[at] <= DENSE))]
                 a.append(c[at - d])
                 b.append(c[at])
             a, b = np.concatenate(a), np.concatenate(b)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary())], schema=form)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary())], schema=form)
             if first:  # rows at a partition's two ends, for the second pass
-                yield pa.RecordBatch.from_arrays([pa.array(c[:NEAR]), pa.nulls(len(c[:NEAR]), pa.int64()), pa.array(region[:NEAR]), pa.array(digits[:NEAR], pa.binary())], schema=form)
+                yield pa.RecordBatch.from_arrays([pa.array(c[:NEAR]), pa.nulls(len(c[:NEAR]), pa.int64()), pa.array(region[:NEAR]), pa.array(size[:NEAR]), pa.array(digits[:NEAR], pa.binary())], schema=form)
                 first = False
-            region, c, digits = region[-NEAR:], c[-NEAR:], digits[-NEAR:]
+            region, size, c, digits = region[-NEAR:], size[-NEAR:], c[-NEAR:], digits[-NEAR:]
         if n > NEAR:
             m = min(NEAR, n - NEAR)
-            yield pa.RecordBatch.from_arrays([pa.array(c[-m:]), pa.nulls(m, pa.int64()), pa.array(region[-m:]), pa.array(digits[-m:], pa.binary())], schema=form)
+            yield pa.RecordBatch.from_arrays([pa.array(c[-m:]), pa.nulls(m, pa.int64()), pa.array(region[-m:]), pa.array(size[-m:]), pa.array(digits[-m:], pa.binary())], schema=form)
 
-    form = "a long, b long, region long, digits binary"
+    form = "a long, b long, region long, size long, digits binary"
     by = ["region", "digits", "c"]
     first = written(order.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(scan, form), "neighbours")
-    ends = first.where("b IS NULL").select("region", "digits", F.col("a").alias("c"))
+    ends = first.where("b IS NULL").select("region", "size", "digits", F.col("a").alias("c"))
     second = ends.repartition(1).sortWithinPartitions(*by).mapInArrow(scan, form)  # 2 * NEAR rows a partition
     return first.unionByName(second).where("b IS NOT NULL").select("a", "b")
 
@@ -135,7 +138,7 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = classes.select("c", F.concat("digits", "digits").alias("twice")).select("c", F.explode(trees).alias("t")).select("c", "t.region", "t.digits")
     shared = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     active = written(rows.join(shared, "region"), "active")
-    pairs = _neighbours(active.select("region", "digits", "c")).union(_leaders(active)).where("a <> b")
+    pairs = _neighbours(active.select("region", "size", "digits", "c")).union(_leaders(active)).where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one, two = classes.select(F.col("c").alias("a"), F.col("digits").alias("x")), classes.select(F.col("c").alias("b"), F.col("digits").alias("y"))
 
