@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from confluo.llm.common import MULT, Remembered, documents, map_arrow, mixed, utf8, written
 
 BITS, SAMPLE, THRESHOLD = 18, 12_000, 0.3
-RATE, SMOOTH, L1, L2 = 0.3, 1.0, 0.05, 0.05
+RATE, SMOOTH, L1, L2 = 2.0, 1.0, 0.02, 0.01
 
 _RUNS = re.compile(r"([A-ZÀ-Þ])+|([a-zß-ÿ])+|(\d)+|(.)\4*", re.S)
 
