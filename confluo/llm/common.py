@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import gc
+import time
 import uuid
 
 import numpy as np
@@ -16,7 +18,7 @@ OWN_DIR = "/tmp/checkpoints/confluo"
 #: Rows in one Arrow batch at most; texts are long, so it is well below Spark's default.
 BATCH_ROWS = 512
 #: Entries of a worker's word caches; a full cache is emptied and filled anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,6 +63,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that have run; it acts on what both garbage collectors have let go."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows, so that long texts do not fill a worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -5,8 +5,8 @@ words are left alone. A line goes if a line before it, in the order of (doc_id,
 set, hash of the text), has Jaccard similarity PERCENT / 100 or more with it, whether or not that one stays itself.
 Null doc_ids come last. Rows equal in id and text are one document.
 
-Words are ordered by rarity: by the count of their bucket among 2^BUCKETS counts over the whole corpus (a
-broadcast of fixed size; any order gives the same result), then by hash. With t = PERCENT / 100, a set of
+Words are ordered by rarity: by the coded count of their bucket among 2^BUCKETS counts over
+the whole corpus (a broadcast of 16 MB at any size; any order gives the same result), then by hash. With t = PERCENT / 100, a set of
 n words probes with its n - ceil(t n) + 1 rarest and is met, by sets at least as large, at its
 n - ceil(2 t n / (1 + t)) + 1 rarest. A word whose bucket counts once meets nothing and is left out.
 Equal sets are one class. In the postings of a word, sorted by size, the length filter is a range; pairs
@@ -14,40 +14,40 @@ then pass the positional bound on the overlap and a bound from 128-bit parity ma
 cannot outnumber the sets' differing words. All three are exact: they drop no pair that matches.
 
 A class needs one earlier match only, so pairs in a group of copies are never all made: of a probe's
-candidates under a word the KEEP earliest go on, with a mark where there were more. Each round verifies
-on full sets the earliest candidate left of every undecided class; classes that use up their candidates
-and bear the mark are probed again against everything. Words and sets are compared by 64-bit hashes.
+candidates under a word the KEEP earliest go on, with a mark where there were more. First the earliest
+candidate of every class is verified on full sets, then all others of the classes still undecided; those
+that use up their candidates and bear the mark are probed again against everything. Words and sets are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import documents, map_arrow, mixed, small_batches, utf8, word_hashes, written
+from confluo.llm.common import documents, free_shuffles, map_arrow, mixed, small_batches, utf8, word_hashes, written
 
-PERCENT, BUCKETS, SLICES, KEEP = 75, 18, 64, 4
-BLOCK = 2_000_000
+PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 16
+BLOCK = 500_000
 LAST = (1 << 63) - 1
 
 
 class Lines:
-    """The lines with words of a batch of texts, as flat arrays."""
+    """The lines with words of a batch of texts, as flat arrays; each line's words are distinct."""
 
     def __init__(self, texts: list[bytes]):
-        split = [[line.split() for line in t.split(b"\n")] for t in texts]
-        rows = [(i, k, len(ws)) for i, lines in enumerate(split) for k, ws in enumerate(lines) if ws]
-        self.doc, self.number, size = np.array(rows, np.int64).reshape(-1, 3).T
-        words = word_hashes([w for lines in split for ws in lines for w in ws])
-        line = np.repeat(np.arange(len(size)), size)
-        order = np.lexsort((words, line))
-        words, line = words[order], line[order]
-        new = np.ones(len(words), bool)
-        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-        self.words, self.line = words[new], line[new]
+        sets, rows = [], []
+        for i, t in enumerate(texts):
+            for k, line in enumerate(t.split(b"\n")):
+                if words := set(line.split()):
+                    sets.append(words)
+                    rows.append((i, k))
+        self.doc, self.number = np.array(rows, np.int64).reshape(-1, 2).T
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        self.words, self.line = word_hashes(list(itertools.chain.from_iterable(sets))), np.repeat(np.arange(len(size)), size)
         self.n = np.bincount(self.line, minlength=len(size))
         self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]]).astype(np.int64) if len(size) else np.zeros(0, np.int64)
         over = lambda f, x: f.reduceat(x, self.start) if len(self.start) else np.zeros(0, np.uint64)
@@ -62,20 +62,29 @@ class Lines:
 
     def prefixes(self, counts: np.ndarray, percent: int):
         """word, line, place for the words that probe."""
-        often = counts[self.words >> np.uint64(64 - BUCKETS)]
-        order = np.lexsort((self.words, often, self.line))
-        place = np.arange(len(order)) - self.start[self.line]
-        use = (place < (self.n - _ceil(percent * self.n, 100) + 1)[self.line]) & (often[order] > 1)
         first = np.zeros(len(self.n), bool)
         first[self.firsts()] = True
-        use &= first[self.line]
-        return self.words[order][use].view(np.int64), self.line[use], place[use]
+        own = np.flatnonzero(first[self.line])
+        words, line = self.words[own], self.line[own]
+        often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
+        # One key: the count, then 56 bits of the hash.
+        order = np.lexsort((often << np.uint64(56) | words >> np.uint64(8), line))
+        heads = np.concatenate([[0], np.cumsum(self.n[first])[:-1]]) if len(order) else np.zeros(0, np.int64)
+        place = np.arange(len(order)) - np.repeat(heads, self.n[first])
+        use = (place < (self.n - _ceil(percent * self.n, 100) + 1)[line]) & (often[order] > 1)
+        return words[order][use].view(np.int64), line[use], place[use]
 
 
 def _ceil(a, b):
     return -(-a // b)
 
 
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes that rise with them: as they are below 32, then eight steps for each doubling."""
+    steps = 32 + np.floor(8 * np.log2(np.maximum(counts, 32) / 32)).astype(np.int64)
+    return np.where(counts < 32, counts, np.minimum(steps, 255)).astype(np.uint8)
+
+
 def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """set, doc, mark, number of every line with words; and the words' bucket counts."""
 
@@ -83,13 +92,23 @@ def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
         import pyarrow as pa
 
         form = pa.schema([("set", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("number", pa.int32()), ("slice", pa.int32()), ("counts", pa.binary())])
-        counts = np.zeros(1 << BUCKETS, np.uint64)
+        at_bucket, counts, waiting = np.zeros(0, np.uint32), np.zeros(0, np.int64), []
+
+        def summed():
+            at, back = np.unique(np.concatenate([at_bucket, *(a for a, _ in waiting)]), return_inverse=True)
+            return at, np.bincount(back, np.concatenate([counts, *(c for _, c in waiting)]), len(at)).astype(np.int64)
+
         for batch in batches:
             own = Lines(batch.column("text").to_pylist())
-            counts += np.bincount(own.words >> np.uint64(64 - BUCKETS), minlength=1 << BUCKETS).astype(np.uint64)
+            waiting.append(np.unique((own.words >> np.uint64(64 - BUCKETS)).astype(np.uint32), return_counts=True))
+            if sum(len(a) for a, _ in waiting) > 1 << 20:
+                (at_bucket, counts), waiting = summed(), []
             at, n = pa.array(own.doc), len(own.doc)
             yield pa.RecordBatch.from_arrays([pa.array(own.set), batch.column("doc").take(at), batch.column("mark").take(at), pa.array(own.number.astype(np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=form)
-        parts = [x.tobytes() for x in np.split(counts, SLICES)]
+        at_bucket, counts = summed()
+        cuts = np.searchsorted(at_bucket, np.arange(1, SLICES) << (BUCKETS - 6))
+        pairs = np.stack([at_bucket, np.minimum(counts, 0xFFFFFFFF)]).astype("<u4")
+        parts = [x.tobytes() for x in np.split(pairs, cuts, axis=1)]
         yield pa.RecordBatch.from_arrays([pa.nulls(SLICES, f.type) for f in list(form)[:4]] + [pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=form)
 
     def total(batches):
@@ -98,20 +117,22 @@ def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                sums[s] = sums.get(s, 0) + np.frombuffer(raw, np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slice", "counts"])
+                at, n = np.frombuffer(raw, "<u4").reshape(2, -1)
+                own = sums.setdefault(s, np.zeros((1 << BUCKETS) // SLICES, np.uint64))
+                own[at & np.uint32(len(own) - 1)] += n
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([coded(x).tobytes() for x in sums.values()], pa.binary())], ["slice", "counts"])
 
     small_batches(rows.sparkSession)
     table = written(rows.mapInArrow(work, "set long, doc long, mark long, number int, slice int, counts binary"), "lines")
     # SLICES rows of a fixed size come to the driver.
     sums = table.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").mapInArrow(total, "slice int, counts binary").collect()
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint64) for r in sorted(sums)]) if sums else np.zeros(1 << BUCKETS, np.uint64)
+    counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in sorted(sums)]) if sums else np.zeros(1 << BUCKETS, np.uint8)
     return table.where("slice IS NULL").select("set", "doc", "mark", "number"), counts
 
 
 def postings(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     """word, set, size, place, low, high, doc, number for each probing word of each batch's distinct lines."""
-    shared = rows.sparkSession.sparkContext.broadcast(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def work(batch):
         import pyarrow as pa
@@ -230,16 +251,14 @@ def _decided(rows: DataFrame, posts: DataFrame, percent: int, keep: int) -> tupl
     made = candidates(posts, percent, keep)
     found = made.groupBy("late", "early").agg(F.max("more").alias("more"), F.first("late_doc").alias("late_doc"), F.first("early_doc").alias("early_doc"), F.min(F.struct("early_doc", "early_number")).alias("at"))
     found = written(found, "candidates")
+    free_shuffles(rows.sparkSession)  # the postings, several times the size of what follows
     both = found.select(F.col("late").alias("set"), F.col("late_doc").alias("doc")).union(found.select("early", "early_doc")).groupBy("set").agg(F.min("doc").alias("doc"))
     sets = written(_sets(rows, both), "sets")
-    left, gone = found, None
-    while True:
-        best = left.groupBy("late").agg(F.min(F.struct("at", "early"))["early"].alias("early"))
-        hit = written(_confirmed(best, sets, percent), "matched")
-        gone = hit if gone is None else gone.union(hit)
-        left = written(left.join(best, ["late", "early"], "left_anti").join(hit, "late", "left_anti"), "left")
-        if left.isEmpty():
-            break
+    free_shuffles(rows.sparkSession)
+    best = found.groupBy("late").agg(F.min(F.struct("at", "early"))["early"].alias("early"))
+    hit = written(_confirmed(best, sets, percent), "matched")
+    rest = found.join(hit, "late", "left_anti").join(best, ["late", "early"], "left_anti").select("late", "early")
+    gone = hit.union(written(_confirmed(rest, sets, percent).distinct(), "matched"))
     open_ = found.where("more").select(F.col("late").alias("set")).distinct().join(gone.withColumnRenamed("late", "set"), "set", "left_anti") if keep else None
     return gone, open_
 
