@@ -10,6 +10,7 @@ from confluo.operators import assign, blocking, features, model, profile, record
 from confluo.operators.features import PAIR
 from confluo.plans import fixture
 from confluo.sources import tables
+from confluo.sources.staging import staged
 
 #: Candidates a source for the queries on pairs, and the small cap that shows the cap's effect.
 FEW, SMALL_CAP = 5, 3
@@ -29,13 +30,18 @@ def _clean(spark: SparkSession, d: str) -> DataFrame:
     return records.clean(_raw(spark, d))
 
 
+def _clean_table(spark: SparkSession, d: str) -> DataFrame:
+    """Clean records, written: blocking and features read them up to ten times, and cleaning costs more than a read."""
+    return staged(_clean(spark, d), "clean")
+
+
 def _pairs(clean: DataFrame, k: int = FEW) -> DataFrame:
     return blocking.candidates(clean, k).select(F.col("s1").alias(PAIR[0]), F.col("cand").alias(PAIR[1]))
 
 
 def _cheap(spark: SparkSession, d: str) -> DataFrame:
     """Pairs with the set features, is_match and score, the mean of two of them."""
-    clean = _clean(spark, d)
+    clean = _clean_table(spark, d)
     both = features.with_records(_pairs(clean), clean)
     made = features.name_address(both) | features.context()
     out = both.select(*PAIR, *[c.alias(n) for n, c in made.items()])
@@ -113,38 +119,38 @@ def token_postings(spark, d):
 
 @query
 def common_tokens(spark, d):
-    return blocking.common_tokens(_clean(spark, d), "address_clean")
+    return blocking.common_tokens(_clean_table(spark, d), "address_clean")
 
 
 @query
 def posting_cap(spark, d):
-    return blocking.postings(_clean(spark, d), "name_clean", SMALL_CAP)
+    return blocking.postings(_clean_table(spark, d), "name_clean", SMALL_CAP)
 
 
 @query
 def block_name(spark, d):
-    return blocking.shared_tokens(_clean(spark, d), "name_clean")
+    return blocking.shared_tokens(_clean_table(spark, d), "name_clean")
 
 
 @query
 def block_address(spark, d):
-    return blocking.shared_tokens(_clean(spark, d), "address_clean", blocking.ADDRESS_LEAST)
+    return blocking.shared_tokens(_clean_table(spark, d), "address_clean", blocking.ADDRESS_LEAST)
 
 
 @query
 def candidate_topk(spark, d):
-    return blocking.candidates(_clean(spark, d))
+    return blocking.candidates(_clean_table(spark, d))
 
 
 @query
 def candidate_lists(spark, d):
-    clean = _clean(spark, d)
+    clean = _clean_table(spark, d)
     return blocking.candidate_lists(clean, blocking.candidates(clean, FEW))
 
 
 @query
 def candidate_stats(spark, d):
-    clean = _clean(spark, d)
+    clean = _clean_table(spark, d)
     return blocking.candidate_stats(blocking.candidate_lists(clean, blocking.candidates(clean, FEW)))
 
 
@@ -160,7 +166,7 @@ def first_ten_pairs(spark, d):
 
 @query
 def label_pairs(spark, d):
-    return features.label(_pairs(_clean(spark, d)), fixture.truth(spark, d))
+    return features.label(_pairs(_clean_table(spark, d)), fixture.truth(spark, d))
 
 
 @query
@@ -179,7 +185,7 @@ def context_features(spark, d):
 
 
 def _ratio(spark, d, name):
-    clean = _clean(spark, d)
+    clean = _clean_table(spark, d)
     return features.with_records(_pairs(clean), clean).select(*PAIR, F.round(features.ratios()[name], 6).alias("ratio"))
 
 
@@ -195,7 +201,7 @@ def token_set_ratio(spark, d):
 
 @query
 def pair_features(spark, d):
-    clean = _clean(spark, d)
+    clean = _clean_table(spark, d)
     return features.pair_features(_pairs(clean), clean, fixture.truth(spark, d))
 
 
