@@ -21,6 +21,8 @@ BATCH_ROWS = 512
 CACHE_WORDS = 300_000
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a span that is hashed with all others; the mask of a step's bytes, by how many are left.
+LONG_WORD, _MASKS = 256, np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +127,34 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
 
 
+def word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs outside ASCII white space) of a uint8 array."""
+    edge = np.empty(len(buffer) + 2, np.int8)
+    edge[0] = edge[-1] = 0
+    np.not_equal(buffer, 32, out=edge[1:-1].view(bool))
+    edge[1:-1] &= (buffer - np.uint8(9)) > 4
+    turns = np.flatnonzero(edge[1:] != edge[:-1])
+    return turns[::2], turns[1::2]
+
+
+def span_hashes(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span, eight bytes a step for all spans at once; spans over LONG_WORD bytes by xxh64."""
+    size = end - start
+    out = mixed(size.astype(np.uint64) * MULT)
+    padded = raw + bytes(8)
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    left = np.flatnonzero(size <= LONG_WORD)
+    at, rest = start[left], size[left]
+    while len(left):
+        chunk = eight[at] & _MASKS[np.minimum(rest, 8)]
+        out[left] = mixed((out[left] ^ chunk) * MULT)
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(raw[start[i] : end[i]])
+    return out
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

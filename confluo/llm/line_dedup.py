@@ -22,34 +22,49 @@ that use up their candidates and bear the mark are probed again against everythi
 from __future__ import annotations
 
 import hashlib
-import itertools
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import documents, free_shuffles, map_arrow, mixed, small_batches, utf8, word_hashes, written
+from confluo.llm.common import documents, free_shuffles, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
 
 PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 16
 BLOCK = 500_000
 LAST = (1 << 63) - 1
 
 
+def _ordered(line: np.ndarray, key: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The order by (line, key), ties as they come: one sort of packed keys, or a full one where packing makes different words equal."""
+    bits = int(line.max()).bit_length() if len(line) else 0
+    packed = line.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits) if bits else key
+    order = np.argsort(packed)
+    packed, words = packed[order], words[order]
+    if ((packed[1:] == packed[:-1]) & (words[1:] != words[:-1])).any():
+        return np.lexsort((words, key, line))
+    return order
+
+
 class Lines:
-    """The lines with words of a batch of texts, as flat arrays; each line's words are distinct."""
+    """The lines with words of a batch of texts, as flat arrays; each line's words are distinct and in the order of their hashes."""
 
     def __init__(self, texts: list[bytes]):
-        sets, rows = [], []
-        for i, t in enumerate(texts):
-            for k, line in enumerate(t.split(b"\n")):
-                if words := set(line.split()):
-                    sets.append(words)
-                    rows.append((i, k))
-        self.doc, self.number = np.array(rows, np.int64).reshape(-1, 2).T
-        size = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.words, self.line = word_hashes(list(itertools.chain.from_iterable(sets))), np.repeat(np.arange(len(size)), size)
-        self.n = np.bincount(self.line, minlength=len(size))
-        self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]]).astype(np.int64) if len(size) else np.zeros(0, np.int64)
+        raw = b"\n".join(texts)
+        buffer = np.frombuffer(raw, np.uint8)
+        start, end = word_spans(buffer)
+        breaks = np.flatnonzero(buffer == 10)
+        heads = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        at, line = np.unique(np.searchsorted(breaks, start), return_inverse=True)  # the break that ends a text is a break too
+        self.doc = np.searchsorted(heads, np.concatenate([[-1], breaks])[at] + 1, "right") - 1
+        self.number = at - np.searchsorted(breaks, heads)[self.doc]
+        words = span_hashes(raw, start, end)
+        order = _ordered(line, words, words)
+        words, line = words[order], line[order]
+        new = np.ones(len(words), bool)
+        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
+        self.words, self.line = words[new], line[new]
+        self.n = np.bincount(self.line, minlength=len(at))
+        self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]]).astype(np.int64) if len(at) else np.zeros(0, np.int64)
         over = lambda f, x: f.reduceat(x, self.start) if len(self.start) else np.zeros(0, np.uint64)
         self.set = mixed(over(np.add, mixed(self.words)) ^ self.n.astype(np.uint64)).view(np.int64)
         bit = np.uint64(1) << (self.words >> np.uint64(1) & np.uint64(63))
@@ -67,8 +82,8 @@ class Lines:
         own = np.flatnonzero(first[self.line])
         words, line = self.words[own], self.line[own]
         often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
-        # One key: the count, then 56 bits of the hash.
-        order = np.lexsort((often << np.uint64(56) | words >> np.uint64(8), line))
+        # The count, then the hash.
+        order = _ordered(line, often << np.uint64(56) | words >> np.uint64(8), words)
         heads = np.concatenate([[0], np.cumsum(self.n[first])[:-1]]) if len(order) else np.zeros(0, np.int64)
         place = np.arange(len(order)) - np.repeat(heads, self.n[first])
         use = (place < (self.n - _ceil(percent * self.n, 100) + 1)[line]) & (often[order] > 1)
@@ -222,10 +237,15 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     lists = wanted.groupBy("doc").agg(F.collect_set("set").alias("want"))
 
     def work(batch):
-        own = Lines(batch.column("text").to_pylist())
-        want = [set(w) for w in batch.column("want").to_pylist()]
-        hit = [i for i, (d, s) in enumerate(zip(own.doc.tolist(), own.set.tolist())) if s in want[d]]
-        yield {"set": own.set[hit], "words": [own.words[own.start[i] : own.start[i] + own.n[i]].tobytes() for i in hit]}
+        import pyarrow as pa
+
+        own, want = Lines(batch.column("text").to_pylist()), batch.column("want")
+        wanted = np.stack([np.repeat(np.arange(len(want)), want.value_lengths().to_numpy()), want.flatten().to_numpy()], axis=1)
+        both, first = np.unique(np.concatenate([wanted, np.stack([own.doc, own.set], axis=1)]), axis=0, return_inverse=True)
+        asked = np.zeros(len(both), bool)
+        asked[first[: len(wanted)]] = True
+        hit = np.flatnonzero(asked[first[len(wanted) :]])
+        yield {"set": own.set[hit], "words": pa.array([own.words[a:b].tobytes() for a, b in zip(own.start[hit].tolist(), (own.start + own.n)[hit].tolist())], pa.binary())}
 
     return map_arrow(rows.select("doc", "text").join(lists, "doc"), work, "set long, words binary").dropDuplicates(["set"])
 
@@ -235,13 +255,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one, two = (sets.select(F.col("set").alias(k), F.col("words").alias(w)) for k, w in (("late", "x"), ("early", "y")))
 
     def work(batch):
-        good = []
-        for late, x, y in zip(*(batch.column(k).to_pylist() for k in ("late", "x", "y"))):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            same = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * same >= percent * (len(x) + len(y) - same):
-                good.append(late)
-        yield {"late": good}
+        late, x, y = batch.column("late").to_numpy(), batch.column("x").to_pylist(), batch.column("y").to_pylist()
+        sizes = [np.fromiter((len(w) >> 3 for w in side), np.int64, len(late)) for side in (x, y)]
+        words, pair = np.frombuffer(b"".join(x + y), np.uint64), np.concatenate([np.repeat(np.arange(len(n)), n) for n in sizes])
+        order = _ordered(pair, words, words)
+        words, pair = words[order], pair[order]
+        same = np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=len(late))
+        yield {"late": late[100 * same >= percent * (sizes[0] + sizes[1] - same)]}
 
     return map_arrow(pairs.join(one, "late").join(two, "early").select("late", "x", "y"), work, "late long")
 
