@@ -16,7 +16,8 @@ cannot outnumber the sets' differing words. All three are exact: they drop no pa
 A class needs one earlier match only, so pairs in a group of copies are never all made: of a probe's
 candidates under a word the KEEP earliest go on, with a mark where there were more. First the earliest
 candidate of every class is verified on full sets, then all others of the classes still undecided; those
-that use up their candidates and bear the mark are probed again against everything. Words and sets are compared by 64-bit hashes.
+that use up their candidates and bear the mark, and no others, are probed again against everything: bitmaps of
+2^BUCKETS bits, broadcast, first say which postings and which later sets may matter; a join then says which do. Words and sets are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -79,15 +80,19 @@ class Lines:
         """word, line, place for the words that probe."""
         first = np.zeros(len(self.n), bool)
         first[self.firsts()] = True
-        own = np.flatnonzero(first[self.line])
-        words, line = self.words[own], self.line[own]
-        often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
-        # The count, then the hash.
-        order = _ordered(line, often << np.uint64(56) | words >> np.uint64(8), words)
-        heads = np.concatenate([[0], np.cumsum(self.n[first])[:-1]]) if len(order) else np.zeros(0, np.int64)
-        place = np.arange(len(order)) - np.repeat(heads, self.n[first])
-        use = (place < (self.n - _ceil(percent * self.n, 100) + 1)[line]) & (often[order] > 1)
-        return words[order][use].view(np.int64), line[use], place[use]
+        own = first[self.line]
+        return probing(self.words[own], self.line[own], self.n, counts, percent)
+
+
+def probing(words: np.ndarray, line: np.ndarray, size: np.ndarray, counts: np.ndarray, percent: int):
+    """word, line, place for the words that probe, of words in the order of (line, hash); size is by line."""
+    often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
+    # The count, then the hash.
+    order = _ordered(line, often << np.uint64(56) | words >> np.uint64(8), words)
+    heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+    place = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+    use = (place < (size - _ceil(percent * size, 100) + 1)[line]) & (often[order] > 1)
+    return words[order][use].view(np.int64), line[use], place[use]
 
 
 def _ceil(a, b):
@@ -145,20 +150,53 @@ def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return table.where("slice IS NULL").select("set", "doc", "mark", "number"), counts
 
 
-def postings(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """word, set, size, place, low, high, doc, number for each probing word of each batch's distinct lines."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts)
+def postings(rows: DataFrame, counts: np.ndarray, percent: int, only: np.ndarray | None = None) -> DataFrame:
+    """word, set, size, place, low, high, doc, number for each probing word of each batch's distinct lines; of the buckets in only, if given."""
+    shared = rows.sparkSession.sparkContext.broadcast((counts, only))
 
     def work(batch):
         import pyarrow as pa
 
         own = Lines(batch.column("text").to_pylist())
-        word, line, place = own.prefixes(shared.value, percent)
+        counts, only = shared.value
+        word, line, place = own.prefixes(counts, percent)
+        if only is not None:
+            use = only[word.view(np.uint64) >> np.uint64(64 - BUCKETS)]
+            word, line, place = word[use], line[use], place[use]
         yield {"word": word, "set": own.set[line], "size": own.n[line].astype(np.int32), "place": place.astype(np.int32), "low": own.low[line], "high": own.high[line], "doc": batch.column("doc").take(pa.array(own.doc[line])), "number": own.number[line].astype(np.int32)}
 
     return map_arrow(rows, work, "word long, set long, size int, place int, low long, high long, doc long, number int")
 
 
+def open_buckets(sets: DataFrame, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the 2^BUCKETS buckets hold a word that one of the sets (set, words) probes with, and which hold one of the sets."""
+    shared, width = sets.sparkSession.sparkContext.broadcast(counts), (1 << BUCKETS) // SLICES
+
+    def work(batch):
+        lists = batch.column("words").to_pylist()
+        size = np.fromiter((len(w) >> 3 for w in lists), np.int64, len(lists))
+        word, _, _ = probing(np.frombuffer(b"".join(lists), np.uint64), np.repeat(np.arange(len(lists)), size), size, shared.value, percent)
+        of_sets = batch.column("set").to_numpy().view(np.uint64)
+        at = np.unique(np.concatenate([word.view(np.uint64) >> np.uint64(64 - BUCKETS), (of_sets >> np.uint64(64 - BUCKETS)) + np.uint64(1 << BUCKETS)]).astype(np.int32))
+        yield {"slice": at // width, "at": at % width}
+
+    def marked(batches):
+        import pyarrow as pa
+
+        marks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slices, at = batch.column("slice").to_numpy(), batch.column("at").to_numpy()
+            for s in np.unique(slices).tolist():
+                marks.setdefault(s, np.zeros(width, bool))[at[slices == s]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(marks), pa.int32()), pa.array([np.packbits(m).tobytes() for m in marks.values()], pa.binary())], ["slice", "bits"])
+
+    out = np.zeros((2 * SLICES, width), bool)
+    # Twice SLICES rows of a fixed size at most: 4 MB in all come to the driver, whatever the input.
+    for r in map_arrow(sets.select("set", "words"), work, "slice int, at int").distinct().repartition("slice").mapInArrow(marked, "slice int, bits binary").collect():
+        out[r["slice"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).view(bool)
+    return out[:SLICES].reshape(-1), out[SLICES:].reshape(-1)
+
+
 def _pairs(word, n, place, low, high, percent):
     """Index pairs (smaller, larger set) that pass the filters, in blocks; arrays are sorted by word and size."""
     group = np.cumsum(np.concatenate([[0], word[1:] != word[:-1]]))
@@ -183,8 +221,9 @@ def _pairs(word, n, place, low, high, percent):
         yield smaller[ok], larger[ok]
 
 
-def candidates(posts: DataFrame, percent: int, keep: int) -> DataFrame:
-    """late, early (sets), their first places, more: candidates of each word, the keep earliest of every later set."""
+def candidates(posts: DataFrame, percent: int, keep: int, of: np.ndarray | None = None) -> DataFrame:
+    """late, early (sets), their first places, more: candidates of each word, the keep earliest of every later set (in a bucket of `of`, if given)."""
+    shared = posts.sparkSession.sparkContext.broadcast(of)
 
     def scan(batches):
         import pyarrow as pa
@@ -201,6 +240,9 @@ def candidates(posts: DataFrame, percent: int, keep: int) -> DataFrame:
             rank[np.lexsort((x["set"], x["number"], x["doc"]))] = np.arange(len(new))
             for s, g in _pairs(x["word"], x["size"], x["place"], x["low"].view(np.uint64), x["high"].view(np.uint64), percent):
                 late, early = np.where(rank[s] > rank[g], s, g), np.where(rank[s] > rank[g], g, s)
+                if (wanted := shared.value) is not None:
+                    use = wanted[x["set"][late].view(np.uint64) >> np.uint64(64 - BUCKETS)]
+                    late, early = late[use], early[use]
                 yield x, rank, late, early
 
         def out(x, rank, late, early):
@@ -218,8 +260,19 @@ def candidates(posts: DataFrame, percent: int, keep: int) -> DataFrame:
             for part in matched(x):
                 yield out(*part)
 
-        for batch in batches:
-            held = {k: np.concatenate([held[k], batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k in names}
+        def gathered():
+            # Batches are short; many are taken up at once.
+            some = []
+            for batch in batches:
+                some.append(batch)
+                if len(some) >= 128:
+                    yield pa.Table.from_batches(some)
+                    some = []
+            if some:
+                yield pa.Table.from_batches(some)
+
+        for table in gathered():
+            held = {k: np.concatenate([held[k], table.column(k).to_numpy().astype(np.int64)]) for k in names}
             end = np.searchsorted(held["word"], held["word"][-1]) if len(held["word"]) else 0  # words come in order; the last goes on
             if end:
                 yield from flush({k: v[:end] for k, v in held.items()})
@@ -266,9 +319,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(one, "late").join(two, "early").select("late", "x", "y"), work, "late long")
 
 
-def _decided(rows: DataFrame, posts: DataFrame, percent: int, keep: int) -> tuple[DataFrame, DataFrame | None]:
-    """Sets with an earlier match, and those still open as some of their candidates were not kept (None: there are none)."""
-    made = candidates(posts, percent, keep)
+def _decided(rows: DataFrame, posts: DataFrame, percent: int, keep: int, late: DataFrame | None = None, of: np.ndarray | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Sets (of those in late, if given) with an earlier match, and set, words of those still open as some of their candidates were not kept (None: there are none)."""
+    made = candidates(posts, percent, keep, of)
+    if late is not None:
+        made = made.join(late, "late", "left_semi")
     found = made.groupBy("late", "early").agg(F.max("more").alias("more"), F.first("late_doc").alias("late_doc"), F.first("early_doc").alias("early_doc"), F.min(F.struct("early_doc", "early_number")).alias("at"))
     found = written(found, "candidates")
     free_shuffles(rows.sparkSession)  # the postings, several times the size of what follows
@@ -279,7 +334,7 @@ def _decided(rows: DataFrame, posts: DataFrame, percent: int, keep: int) -> tupl
     hit = written(_confirmed(best, sets, percent), "matched")
     rest = found.join(hit, "late", "left_anti").join(best, ["late", "early"], "left_anti").select("late", "early")
     gone = hit.union(written(_confirmed(rest, sets, percent).distinct(), "matched"))
-    open_ = found.where("more").select(F.col("late").alias("set")).distinct().join(gone.withColumnRenamed("late", "set"), "set", "left_anti") if keep else None
+    open_ = found.where("more").select(F.col("late").alias("set")).distinct().join(gone.withColumnRenamed("late", "set"), "set", "left_anti").join(sets, "set") if keep else None
     return gone, open_
 
 
@@ -291,9 +346,9 @@ def removed_lines(rows: DataFrame, percent: int = PERCENT, keep: int = KEEP) ->
     if undecided is not None:
         undecided = written(undecided, "undecided")
         if not undecided.isEmpty():
-            # Their words' postings once more, with every candidate.
-            words = posts.join(undecided, "set", "left_semi").select("word").distinct()
-            again, _ = _decided(rows, posts.join(words, "word", "left_semi"), percent, 0)
+            # The postings of their words' buckets once more, with every candidate.
+            only, of = open_buckets(undecided, counts, percent)
+            again, _ = _decided(rows, postings(rows, counts, percent, only), percent, 0, undecided.select(F.col("set").alias("late")), of)
             gone = gone.union(again).distinct()
     place = F.struct("doc", "number", "mark")
     firsts = lines.groupBy("set").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(gone.select(F.col("late").alias("set"), F.lit(True).alias("late")), "set", "left").where("n > 1 OR late")
