@@ -13,11 +13,18 @@ share the first four digits of a tree are a region; regions of one class end the
   hub if a region holds edited copies of one text. Regions of over DENSE classes are cut at deeper
   prefixes (6, 8 and 12 digits), each with its own leader.
 
-So candidates grow with the classes, not with pairs in a group, and no candidate is dropped by a cap.
+These find nearly all components at little cost, but not every pair of a region is among them. So, when
+their links are known, all other pairs of a region of over NEAR + 1 classes are compared too, unless both
+ends are connected already (`unconnected`): the classes of a region outside its largest component
+meet all its classes, in blocks of BLOCK that are dealt over tasks. What is left is verified, the most
+alike first. Two classes that share a region are thus in one component or have been compared.
+
 A pair whose digits agree in under LEAST of SIZE places is not verified: at the threshold of 0.75 the
 agreement is below that with probability under 1e-11, and four digits meet in none of the 32 trees with
 probability 5e-6. First each class's best candidate is verified, then all whose ends are not connected
 yet. Verification counts the shingles (40 bits of each hash) that both sets hold, per hub and salt.
+The work on unconnected pairs grows with their number: with the square of a group of texts that are alike
+in over about a half, but not enough to be connected.
 
 Null or blank texts have no set: n_shingles 0, no links. Rows with a null doc_id take no part: they are
 kept, with a null component. Rows that repeat a doc_id are nodes of their own.
@@ -36,6 +43,7 @@ from confluo.llm.graph import components
 
 K, SIZE, TREES, DEPTH = 5, 128, 32, 4
 NEAR, CLOSE, DENSE, LEAST, SALT = 7, 1, 16, 62, 256
+BLOCK, ALIKE, CHUNK = 1024, 92, 1 << 15
 PERCENT = 75
 
 _RNG = np.random.default_rng(20_011)
@@ -134,8 +142,8 @@ def _leaders(active: DataFrame) -> DataFrame:
 
 def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """hub, leaf, agree for each pair of classes (c, digits) to be verified."""
-    trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(F.xxhash64(t, F.substring(F.col("twice"), t * 8 + 1, F.lit(8))).alias("region"), F.substring(F.col("twice"), t * 8 + 9, F.lit(16)).alias("digits")))
-    rows = classes.select("c", F.concat("digits", "digits").alias("twice")).select("c", F.explode(trees).alias("t")).select("c", "t.region", "t.digits")
+    trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(F.xxhash64(t, F.substring(F.col("twice"), t * 8 + 1, F.lit(8))).alias("region"), F.substring(F.col("twice"), t * 8 + 9, F.lit(16)).alias("digits"), t.alias("tree")))
+    rows = classes.select("c", F.concat("digits", "digits").alias("twice")).select("c", F.explode(trees).alias("t")).select("c", "t.region", "t.digits", "t.tree")
     shared = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     active = written(rows.join(shared, "region"), "active")
     pairs = _neighbours(active.select("region", "size", "digits", "c")).union(_leaders(active)).where("a <> b")
@@ -152,6 +160,72 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(likely, "pairs"), active
 
 
+def unconnected(active: DataFrame, classes: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """leaf, hub, agree: all pairs of a region of over NEAR + 1 classes with different roots that may be similar; each pair once, in its first common tree."""
+    dense = active.where(F.col("size") > NEAR + 1).select("region", "tree", "c")
+    dense = dense.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    parts = dense.groupBy("region", "root").agg(F.count("*").alias("n")).groupBy("region")
+    parts = parts.agg(F.count("*").alias("roots"), F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("top")).where("roots > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    parts = parts.select("region", F.col("top.root").alias("top"), blocks(F.col("top.n")).alias("tops"), blocks(F.col("all") - F.col("top.n")).alias("others"))
+    # Jobs are (i, j): block i of the others with block j of the others (j >= i) or, below zero, of the largest component. side 0 is i, 1 is j.
+    some = lambda n: F.sequence(F.lit(0), n - 1)
+    job = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    of = lambda n: F.pmod(F.xxhash64("c"), n).cast("int")
+    tops, others = F.col("tops"), F.col("others")
+    top = F.transform(some(others), lambda i: job(i, -1 - of(tops), 1))
+    with_top = F.transform(some(tops), lambda j: job(of(others), -1 - j, 0))
+    low = F.transform(F.sequence(of(others), others - 1), lambda j: job(of(others), j, 0))
+    high = F.transform(F.filter(some(others), lambda i: i < of(others)), lambda i: job(i, of(others), 1))
+    dealt = dense.join(parts, "region").withColumn("job", F.explode(F.when(F.col("root") == F.col("top"), top).otherwise(F.concat(with_top, low, high))))
+    dealt = dealt.select("region", "tree", "c", "root", "job.*").join(classes.select("c", "n_shingles", "digits"), "c")
+
+    def meet(tree, one, two):
+        """Pairs of rows of one and two (c, root, n, digits), or of one with itself."""
+        (c, root, n, digits), (d, other, m, marks) = one, two or one
+        step = max(1, CHUNK * 8 // max(1, len(d)))
+        for at in range(0, len(c), step):
+            k, x = c[at : at + step], slice(at, at + step)
+            ok = (root[x, None] != other[None]) & (100 * np.minimum(n[x, None], m[None]) >= percent * np.maximum(n[x, None], m[None]))
+            if two is None:
+                ok &= k[:, None] < d[None]
+            i, j = np.nonzero(ok)
+            i += at
+            for part in range(0, len(i), CHUNK):
+                a, b = i[part : part + CHUNK], j[part : part + CHUNK]
+                same = digits[a] == marks[b]
+                agree = same.sum(axis=1)
+                likely = np.flatnonzero(agree >= LEAST)
+                likely = likely[same[likely].reshape(len(likely), TREES, DEPTH).all(axis=2).argmax(axis=1) == tree]
+                yield c[a[likely]], d[b[likely]], agree[likely].astype(np.int32)
+
+    def scan(batches):
+        import pyarrow as pa
+
+        def out(key, sides):
+            own = [tuple(np.array(x, np.int64) for x in s[:3]) + (np.frombuffer(b"".join(s[3]), ">u2").reshape(-1, SIZE),) for s in sides]
+            itself = key[2] == key[3]
+            if len(own[0][0]) and (itself or len(own[1][0])):
+                for a, b, agree in meet(key[1], own[0], None if itself else own[1]):
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(agree)], ["leaf", "hub", "agree"])
+
+        key, sides = None, None
+        for batch in batches:
+            for region, tree, i, j, side, *row in zip(*(batch.column(k).to_pylist() for k in ("region", "tree", "i", "j", "side", "c", "root", "n_shingles", "digits"))):
+                if key != (region, tree, i, j):
+                    if key:
+                        yield from out(key, sides)
+                    key, sides = (region, tree, i, j), [[[] for _ in range(4)] for _ in range(2)]
+                for values, x in zip(sides[side], row):
+                    values.append(x)
+        if key:
+            yield from out(key, sides)
+
+    by = ["region", "tree", "i", "j"]
+    return written(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "leaf long, hub long, agree int"), "unconnected")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """a, b of the pairs (leaf, hub) whose sets (c, members) are that similar. A hub's pairs are dealt out by salt, and its set goes to each of its salts."""
     many = pairs.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / SALT).cast("int").alias("salts"))
@@ -180,10 +254,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return written(rows.mapInArrow(scan, "a long, b long"), "links")
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """leaf, hub of the pairs whose ends are not connected."""
+    rooted = lambda k: roots.select(F.col("node").alias(k), F.col("root").alias(f"{k}_root"))
+    return pairs.join(rooted("leaf"), "leaf", "left").join(rooted("hub"), "hub", "left").where("coalesce(leaf_root, leaf) <> coalesce(hub_root, hub)").select("leaf", "hub")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, mark, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
     rows = written(profiles(docs), "profiles")
-    classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("digits").alias("digits"))
+    classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("digits").alias("digits"), F.first("n_shingles").alias("n_shingles"))
     classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
     pairs, active = candidates(classes.select("c", "digits"))
     weight = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("w"))
@@ -195,10 +275,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     best = pairs.groupBy("leaf").agg(F.max(F.struct(F.floor(F.col("agree") / 8).alias("step"), "w", "hub"))["hub"].alias("hub"))
     links = verified(best, sets)
     roots = components(links)
-    rooted = lambda k: roots.select(F.col("node").alias(k), F.col("root").alias(f"{k}_root"))
-    apart = pairs.join(best, ["leaf", "hub"], "left_anti").join(rooted("leaf"), "leaf", "left").join(rooted("hub"), "hub", "left").where("coalesce(leaf_root, leaf) <> coalesce(hub_root, hub)").select("leaf", "hub")
-    more = verified(written(apart, "apart"), sets)
-    roots = components(links.union(more))
+    more = verified(written(_apart(pairs.join(best, ["leaf", "hub"], "left_anti"), roots), "apart"), sets)
+    links = links.union(more)
+    roots = components(links)
+    rest = unconnected(active, classes, roots)
+    if not rest.isEmpty():
+        sets = _sets(docs, classes, rest)
+        # The most alike are nearly all similar, and connect the ends of many others.
+        for least, most in ((ALIKE, SIZE + 1), (LEAST, ALIKE)):
+            more = verified(written(_apart(rest.where(F.col("agree").between(least, most - 1)), roots), "apart"), sets)
+            if not more.isEmpty():
+                links = links.union(more)
+                roots = components(links)
     named = classes.select("digest", "c", F.col("first.doc_id").alias("doc")).join(roots, F.col("c") == F.col("node"), "left")
     named = named.select("digest", "doc", F.coalesce("root", "c").alias("root"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))

@@ -245,6 +245,39 @@ def test_near_duplicates(docs, rows, empty):
     assert lsh_forest.near_duplicates(empty).count() == 0
 
 
+def group_of_copies(n=400, seed=3):
+    """Copies of one text, all with as many edits and no hub, where few pairs are similar enough and most are just below."""
+    rnd, base = random.Random(seed), [f"b{i}" for i in range(200)]
+    out = []
+    for i in range(n):
+        t, at = list(base), rnd.sample(range(4, 196, 20), 5)
+        for k in at:
+            t[k] = f"n{i}x{k}"
+        out.append((i, " ".join(t)))
+    return out
+
+
+def test_near_duplicates_in_dense_regions(spark):
+    rows = group_of_copies()
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if 100 * same >= 75 * (len(sets[i]) + len(sets[j]) - same):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = {i: find(i) for i, _ in rows}
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert len(set(want.values())) > 1 and got == want
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 99), (98, 99), (7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
