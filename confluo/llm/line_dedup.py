@@ -71,14 +71,15 @@ class Lines:
         odd = self.words & np.uint64(1) != 0
         self.low, self.high = (over(np.bitwise_xor, np.where(x, bit, np.uint64(0))).view(np.int64) for x in (~odd, odd))
 
-    def firsts(self) -> np.ndarray:
-        """The first line of each set."""
-        return np.unique(self.set, return_index=True)[1]
+    def firsts(self, ids: np.ndarray) -> np.ndarray:
+        """The first line of each set in the order of (id, number); ids are the texts' own, whose rows come in any order."""
+        order = np.lexsort((self.number, ids[self.doc], self.set))
+        return order[np.unique(self.set[order], return_index=True)[1]]
 
-    def prefixes(self, counts: np.ndarray, percent: int):
+    def prefixes(self, counts: np.ndarray, percent: int, ids: np.ndarray):
         """word, line, place for the words that probe."""
         first = np.zeros(len(self.n), bool)
-        first[self.firsts()] = True
+        first[self.firsts(ids)] = True
         own = np.flatnonzero(first[self.line])
         words, line = self.words[own], self.line[own]
         often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
@@ -153,7 +154,7 @@ def postings(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
         import pyarrow as pa
 
         own = Lines(batch.column("text").to_pylist())
-        word, line, place = own.prefixes(shared.value, percent)
+        word, line, place = own.prefixes(shared.value, percent, batch.column("doc").to_numpy())
         yield {"word": word, "set": own.set[line], "size": own.n[line].astype(np.int32), "place": place.astype(np.int32), "low": own.low[line], "high": own.high[line], "doc": batch.column("doc").take(pa.array(own.doc[line])), "number": own.number[line].astype(np.int32)}
 
     return map_arrow(rows, work, "word long, set long, size int, place int, low long, high long, doc long, number int")

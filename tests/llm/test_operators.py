@@ -303,6 +303,19 @@ def test_line_dedup(docs, rows, empty, keep):
     assert out.columns == docs.columns and out.count() == len(rows) and line_dedup.dedup_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("keep", [16, 1])
+def test_line_dedup_in_any_order_of_rows(spark, keep):
+    """Each set stands in several documents of one batch, the later ones first, and a similar line in a document between."""
+    rows = []
+    for k in range(40):
+        line = [f"w{k}x{i}" for i in range(12)]
+        rows += [(900 + k, " ".join(line)), (500 + k, " ".join(line[:-1] + [f"v{k}"])), (100 + k, "own words %d\n%s" % (k, " ".join(line)))]
+    random.Random(5).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {(r.doc, r.number) for r in line_dedup.removed_lines(line_dedup._rows(docs), keep=keep).select("doc", F.explode("numbers").alias("number")).collect()}
+    assert got == {(base + k, 0) for base in (500, 900) for k in range(40)}
+
+
 def test_quality_counts(docs, rows, spark, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None)], "doc_id long, quality int")
     want = Counter()
