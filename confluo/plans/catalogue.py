@@ -12,8 +12,8 @@ from confluo.plans import fixture
 from confluo.sources import tables
 from confluo.sources.staging import staged
 
-#: Candidates a source for the queries on pairs, and the small cap that shows the cap's effect.
-FEW, SMALL_CAP = 5, 3
+#: Candidates a source for the queries on pairs (the operator's own), and the small cap that shows the cap's effect.
+FEW, SMALL_CAP = blocking.PER_SOURCE, 3
 QUERIES: dict = {}
 
 
