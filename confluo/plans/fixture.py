@@ -9,8 +9,8 @@ from confluo.operators.features import PAIR
 
 RECORDS = """
 SELECT 'S' || CAST(doc_id % 3 + 1 AS STRING) || '-' || CAST(doc_id AS STRING) AS entity_id,
-  replace(substr(text, 1, 60), chr(10), ' ') || CASE doc_id % 5 WHEN 0 THEN ' LLC' WHEN 1 THEN ' Pvt. Ltd.' WHEN 2 THEN '' WHEN 3 THEN ' & Co' ELSE ' Company, Inc.' END AS business_name,
-  replace(substr(text, 81, 100), chr(10), ' ') || CASE doc_id % 4
+  replace(substr(text, 1, 80), chr(10), ' ') || CASE doc_id % 5 WHEN 0 THEN ' LLC' WHEN 1 THEN ' Pvt. Ltd.' WHEN 2 THEN '' WHEN 3 THEN ' & Co' ELSE ' Company, Inc.' END AS business_name,
+  replace(substr(text, 81, 160), chr(10), ' ') || CASE doc_id % 4
     WHEN 0 THEN ', 12 Main St, Springfield ' || CAST(10000 + doc_id * 37 % 90000 AS STRING)
     WHEN 1 THEN ', Flat No 403 Marg ' || CAST(10000 + doc_id * 37 % 90000 AS STRING)
     WHEN 2 THEN ', Hill Rd, New Delhi ' || CAST(100000 + doc_id * 53 % 800000 AS STRING)

@@ -1,6 +1,9 @@
 """Registered queries take all that the operators and the documented fixture take."""
 
+from pyspark.sql import functions as F
+
 from confluo.operators import blocking
+from confluo.plans import fixture
 from confluo.plans.catalogue import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -12,3 +15,12 @@ def test_lists_hold_every_candidate(spark):
     assert want.groupby("s1").size().max() > 10
     assert set(map(tuple, got.to_numpy())) == set(map(tuple, want.to_numpy()))
     assert blocking.PER_SOURCE == 50
+
+
+def test_records_take_the_documented_characters(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) > 240").select("doc_id", "text")
+    rows = fixture.records(spark, DATA).withColumn("doc_id", F.expr("cast(split_part(entity_id, '-', 2) AS bigint)")).join(docs, "doc_id").collect()
+    assert rows
+    for r in rows:
+        assert r.business_name.startswith(r.text[:80].replace("\n", " "))
+        assert r.business_address.startswith(r.text[80:240].replace("\n", " "))
