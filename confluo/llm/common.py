@@ -80,6 +80,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def bitmap(df: DataFrame, column: str, bits: int = 27) -> np.ndarray:
+    """A bit for the leading bits of each 64-bit hash in a column: 2^(bits - 3) bytes at any size, built by the executors. What it marks is a superset of what df holds."""
+    at = F.shiftrightunsigned(column, 64 - bits)
+    pages = df.select(F.shiftright(at, 15).alias("page"), at.bitwiseAND(F.lit(32767)).alias("bit")).groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros((1 << bits - 15, 4096), np.uint8)
+    for r in pages.collect():  # 2^(bits - 15) pages at most
+        out[r["page"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def is_marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes a bitmap marks."""
+    at = hashes.view(np.uint64) >> np.uint64(61 - len(marks).bit_length() + 1)
+    return (marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)) != 0
+
+
 def utf8(column: str = "text"):
     """The text's bytes, empty for null."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -3,33 +3,45 @@
 A line (split at \\n) is the set of its words (runs outside ASCII white space, unchanged). Lines without
 words are left alone. A line goes if a line before it, in the order of (doc_id, line number, hash of the
 set, hash of the text), has Jaccard similarity PERCENT / 100 or more with it, whether or not that one stays itself.
-Null doc_ids come last. Rows equal in id and text are one document.
+Rows come in any order. Null doc_ids come last. Rows equal in id and text are one document; rows that
+share an id alone are documents of their own. An empty table gives an empty result.
 
 Words are ordered by rarity: by the coded count of their bucket among 2^BUCKETS counts over
 the whole corpus (a broadcast of 16 MB at any size; any order gives the same result), then by hash. With t = PERCENT / 100, a set of
 n words probes with its n - ceil(t n) + 1 rarest and is met, by sets at least as large, at its
 n - ceil(2 t n / (1 + t)) + 1 rarest. A word whose bucket counts once meets nothing and is left out.
 Equal sets are one class. In the postings of a word, sorted by size, the length filter is a range; pairs
-then pass the positional bound on the overlap and a bound from 128-bit parity maps, whose differing bits
+then pass the positional bound on the overlap and a bound from 64- or 128-bit parity maps, whose differing bits
 cannot outnumber the sets' differing words. All three are exact: they drop no pair that matches.
 
+Postings travel as packed columns: a task holds up to FLUSH of them and sends each bucket of words one
+block, so Spark moves a few thousand rows and the filters run on arrays. A word with over HOT postings is not
+paired in the task that gathers it: its postings are dealt out again in blocks that meet two by two, so
+what a task holds is bounded whatever a word's share.
+
 A class needs one earlier match only, so pairs in a group of copies are never all made: of a probe's
-candidates under a word the KEEP earliest go on, with a mark where there were more. First the earliest
-candidate of every class is verified on full sets, then all others of the classes still undecided; those
-that use up their candidates and bear the mark are probed again against everything. Words and sets are compared by 64-bit hashes.
+candidates under a word the KEEP that look most alike go on, with a mark where there were more. First the
+most alike candidate of every class is verified on full sets, then all others of the classes still undecided; those
+that use up their candidates and bear the mark are probed again against everything. Their words and sets
+reach that second scan as bitmaps of a fixed size, which let more through but lose nothing. Words and sets
+are compared by 64-bit hashes (a word in a posting by 42 bits, which adds candidates only).
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import documents, free_shuffles, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
+from confluo.llm.common import bitmap, documents, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
 
-PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 16
+PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 4
+FLUSH, PER_BUCKET, HOT = 1 << 19, 1 << 16, 1 << 16
+#: Sets above this size carry a map of 128 bits, others one of 64.
+WIDE = 60
 BLOCK = 500_000
 LAST = (1 << 63) - 1
 
@@ -65,30 +77,39 @@ class Lines:
         self.words, self.line = words[new], line[new]
         self.n = np.bincount(self.line, minlength=len(at))
         self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]]).astype(np.int64) if len(at) else np.zeros(0, np.int64)
-        over = lambda f, x: f.reduceat(x, self.start) if len(self.start) else np.zeros(0, np.uint64)
-        self.set = mixed(over(np.add, mixed(self.words)) ^ self.n.astype(np.uint64)).view(np.int64)
-        bit = np.uint64(1) << (self.words >> np.uint64(1) & np.uint64(63))
-        odd = self.words & np.uint64(1) != 0
-        self.low, self.high = (over(np.bitwise_xor, np.where(x, bit, np.uint64(0))).view(np.int64) for x in (~odd, odd))
+        self.set = mixed(self._over(np.add, mixed(self.words)) ^ self.n.astype(np.uint64)).view(np.int64)
+
+    def _over(self, f, x: np.ndarray) -> np.ndarray:
+        return f.reduceat(x, self.start) if len(self.start) else np.zeros(0, np.uint64)
 
-    def firsts(self, ids: np.ndarray) -> np.ndarray:
-        """The first line of each set in the order of (id, number); ids are the texts' own, whose rows come in any order."""
-        order = np.lexsort((self.number, ids[self.doc], self.set))
-        return order[np.unique(self.set[order], return_index=True)[1]]
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """A 64-bit parity map of each line's words, and the part of it that odd hashes make: the two give a map of 128 bits."""
+        bit = np.uint64(1) << (self.words >> np.uint64(1) & np.uint64(63))
+        return self._over(np.bitwise_xor, bit), self._over(np.bitwise_xor, np.where(self.words & np.uint64(1) != 0, bit, np.uint64(0)))
 
     def prefixes(self, counts: np.ndarray, percent: int, ids: np.ndarray):
-        """word, line, place for the words that probe."""
-        first = np.zeros(len(self.n), bool)
-        first[self.firsts(ids)] = True
-        own = np.flatnonzero(first[self.line])
-        words, line = self.words[own], self.line[own]
-        often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
-        # The count, then the hash.
-        order = _ordered(line, often << np.uint64(56) | words >> np.uint64(8), words)
-        heads = np.concatenate([[0], np.cumsum(self.n[first])[:-1]]) if len(order) else np.zeros(0, np.int64)
-        place = np.arange(len(order)) - np.repeat(heads, self.n[first])
-        use = (place < (self.n - _ceil(percent * self.n, 100) + 1)[line]) & (often[order] > 1)
-        return words[order][use].view(np.int64), line[use], place[use]
+        """word, line, place of the words that probe, for the first line of each set."""
+        own = first_of(self.set, ids[self.doc], self.number)
+        mine = np.zeros(len(self.n), bool)
+        mine[own] = True
+        words, line, place = probing(self.words[mine[self.line]], self.n[mine], counts, percent)
+        return words, np.flatnonzero(mine)[line], place
+
+
+def first_of(sets: np.ndarray, doc: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The place of each set's first line in the order of (doc, number); rows come in any order."""
+    order = np.lexsort((number, doc, sets))
+    return order[np.unique(sets[order], return_index=True)[1]]
+
+
+def probing(words: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int):
+    """word, line, place of the rarest words of lines given as flat words and sizes: by their bucket's count, then by hash."""
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    often = counts[words >> np.uint64(64 - BUCKETS)].astype(np.uint64)
+    order = _ordered(line, often << np.uint64(56) | words >> np.uint64(8), words)
+    place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    use = (place < (sizes - _ceil(percent * sizes, 100) + 1)[line]) & (often[order] > 1)
+    return words[order][use], line[use], place[use]
 
 
 def _ceil(a, b):
@@ -101,8 +122,8 @@ def coded(counts: np.ndarray) -> np.ndarray:
     return np.where(counts < 32, counts, np.minimum(steps, 255)).astype(np.uint8)
 
 
-def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """set, doc, mark, number of every line with words; and the words' bucket counts."""
+def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
+    """set, doc, mark, number of every line with words; the words' bucket counts; the number of words."""
 
     def work(batches):
         import pyarrow as pa
@@ -136,119 +157,302 @@ def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 at, n = np.frombuffer(raw, "<u4").reshape(2, -1)
                 own = sums.setdefault(s, np.zeros((1 << BUCKETS) // SLICES, np.uint64))
                 own[at & np.uint32(len(own) - 1)] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([coded(x).tobytes() for x in sums.values()], pa.binary())], ["slice", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([coded(x).tobytes() for x in sums.values()], pa.binary()), pa.array([int(x.sum()) for x in sums.values()], pa.int64())], ["slice", "counts", "n"])
 
     small_batches(rows.sparkSession)
     table = written(rows.mapInArrow(work, "set long, doc long, mark long, number int, slice int, counts binary"), "lines")
     # SLICES rows of a fixed size come to the driver.
-    sums = table.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").mapInArrow(total, "slice int, counts binary").collect()
+    sums = table.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").mapInArrow(total, "slice int, counts binary, n long").collect()
     counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in sorted(sums)]) if sums else np.zeros(1 << BUCKETS, np.uint8)
-    return table.where("slice IS NULL").select("set", "doc", "mark", "number"), counts
+    return table.where("slice IS NULL").select("set", "doc", "mark", "number"), counts, sum(r["n"] for r in sums)
 
 
-def postings(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """word, set, size, place, low, high, doc, number for each probing word of each batch's distinct lines."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts)
+_HEAD = struct.Struct("<Iq5B")
+_WIDTHS = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}
 
-    def work(batch):
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in as few bytes as hold them all."""
+    top = int(x.max(initial=0))
+    return x.astype(_WIDTHS[1 << (top > 0xFF) + (top > 0xFFFF) + (top > 0xFFFFFFFF)])
+
+
+def packed(columns: dict[str, np.ndarray], cuts: np.ndarray) -> list[bytes]:
+    """Blocks of postings, cut at cuts: word, set, fold, n, place, doc, number, asked, and high where n is above WIDE."""
+    base = columns["doc"].min(initial=LAST)
+    small = [_narrow(x) for x in (columns["n"], columns["place"], (columns["doc"].view(np.uint64) - base.view(np.uint64)), columns["number"])]
+    asked = columns.get("asked")
+    parts = [columns["word"], columns["set"], columns["fold"], *small, *([asked] if asked is not None else [])]
+    high, wide = columns["high"], columns["n"] > WIDE
+    sizes = [x.itemsize for x in small] + [asked is not None]
+    return [b"".join([_HEAD.pack(b - a, int(base), *sizes), *(x[a:b].tobytes() for x in parts), high[a:b][wide[a:b]].tobytes()]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
+def unpacked(block: bytes) -> dict[str, np.ndarray]:
+    count, base, *sizes, asked = _HEAD.unpack_from(block)
+    at, out = _HEAD.size, {}
+
+    def take(kind, n=count):
+        nonlocal at
+        at += (size := n * np.dtype(kind).itemsize)
+        return np.frombuffer(block, kind, n, at - size)
+
+    out["word"], out["set"], out["fold"] = take(np.uint32), take(np.int64), take(np.uint64)
+    n, place, doc, number = (take(_WIDTHS[s]) for s in sizes)
+    out |= {"n": n.astype(np.int64), "place": place.astype(np.int64), "doc": (doc.astype(np.uint64) + np.int64(base).view(np.uint64)).view(np.int64), "number": number.astype(np.int64)}
+    out["asked"] = take(bool) if asked else np.zeros(count, bool)
+    out["high"] = np.zeros(count, np.uint64)
+    out["high"][out["n"] > WIDE] = take(np.uint64, int((out["n"] > WIDE).sum()))
+    return out
+
+
+def _joined(blocks: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return blocks[0] if len(blocks) == 1 else {k: np.concatenate([b[k] for b in blocks]) for k in blocks[0]}
+
+
+def _picked(x: dict[str, np.ndarray], at) -> dict[str, np.ndarray]:
+    return {k: v[at] for k, v in x.items()}
+
+
+def postings(rows: DataFrame, shared, percent: int, buckets: int, asked=None, flush: int = FLUSH) -> DataFrame:
+    """bucket, n, block: the probing words of each task's distinct lines. With asked, bitmaps of words and of sets: those words alone, and the lines marked whose sets are asked for."""
+
+    def work(batches):
         import pyarrow as pa
 
-        own = Lines(batch.column("text").to_pylist())
-        word, line, place = own.prefixes(shared.value, percent, batch.column("doc").to_numpy())
-        yield {"word": word, "set": own.set[line], "size": own.n[line].astype(np.int32), "place": place.astype(np.int32), "low": own.low[line], "high": own.high[line], "doc": batch.column("doc").take(pa.array(own.doc[line])), "number": own.number[line].astype(np.int32)}
+        lines, posts, held = [], [], 0
+
+        def dealt():
+            line = {k: np.concatenate([x[k] for x in lines]) for k in lines[0]}
+            word, at, place = (np.concatenate(x) for x in zip(*posts))
+            keep = np.zeros(len(line["set"]), bool)
+            keep[first_of(line["set"], line["doc"], line["number"])] = True
+            use = np.flatnonzero(keep[at])
+            bucket = (word[use] & np.uint64(buckets - 1)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+            use = use[np.argsort(bucket, kind="stable")]
+            bucket = (word[use] & np.uint64(buckets - 1)).astype(np.int64)
+            cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(use)]])
+            blocks = packed({k: v[at[use]] for k, v in line.items()} | {"word": (word[use] >> np.uint64(32)).astype(np.uint32), "place": place[use]}, cuts)
+            return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array(np.diff(cuts)), pa.array(blocks, pa.binary())], ["bucket", "n", "block"])
+
+        for batch in batches:
+            own, ids = Lines(batch.column("text").to_pylist()), batch.column("doc").to_numpy()
+            word, at, place = own.prefixes(shared.value, percent, ids)
+            if asked:
+                hit = is_marked(asked[0].value, word)
+                word, at, place = word[hit], at[hit], place[hit]
+            used, at = np.unique(at, return_inverse=True)
+            fold, high = own.parities()
+            lines.append({"set": own.set[used], "n": own.n[used], "fold": fold[used], "high": high[used], "doc": ids[own.doc[used]], "number": own.number[used]} | ({"asked": is_marked(asked[1].value, own.set[used])} if asked else {}))
+            posts.append((word, at + held_lines(lines), place))
+            held += len(word)
+            if held >= flush:
+                yield dealt()
+                lines, posts, held = [], [], 0
+        if held:
+            yield dealt()
+
+    def held_lines(lines):
+        return sum(len(x["set"]) for x in lines[:-1])
 
-    return map_arrow(rows, work, "word long, set long, size int, place int, low long, high long, doc long, number int")
+    small_batches(rows.sparkSession)
+    return rows.mapInArrow(work, "bucket long, n long, block binary")
 
 
-def _pairs(word, n, place, low, high, percent):
-    """Index pairs (smaller, larger set) that pass the filters, in blocks; arrays are sorted by word and size."""
+def _pairs(word, n, place, fold, high, percent):
+    """Index pairs (smaller, larger set) that pass the filters and their differing bits, in blocks; arrays are sorted by word and size."""
     group = np.cumsum(np.concatenate([[0], word[1:] != word[:-1]]))
     key = group.astype(np.int64) << 32 | n
     start = np.searchsorted(key, group.astype(np.int64) << 32 | _ceil(percent * n, 100))
-    met = place < n - _ceil(2 * percent * n, 100 + percent) + 1
-    many = np.arange(len(n)) - start
+    # The smaller sets are met at fewer words: a larger one's candidates are a run of these places.
+    met = np.flatnonzero(place < n - _ceil(2 * percent * n, 100 + percent) + 1)
+    before = np.searchsorted(met, np.arange(len(n) + 1))
+    start = before[start]
+    many = before[:-1] - start
     cuts = np.searchsorted(np.cumsum(many), np.arange(BLOCK, int(many.sum()) + BLOCK, BLOCK))
     for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(n)]])):
         b = min(b, len(n))
         if a >= b:
             continue
         larger = np.repeat(np.arange(a, b), many[a:b])
-        smaller = np.arange(len(larger)) - np.repeat(np.cumsum(many[a:b]) - many[a:b] - start[a:b], many[a:b])
-        ok = met[smaller]
-        larger, smaller = larger[ok], smaller[ok]
+        smaller = met[np.arange(len(larger)) - np.repeat(np.cumsum(many[a:b]) - many[a:b] - start[a:b], many[a:b])]
         both = n[larger] + n[smaller]
         need = _ceil(percent * both, 100 + percent)
-        ok = 1 + np.minimum(n[larger] - place[larger], n[smaller] - place[smaller]) - 1 >= need
-        apart = np.bitwise_count(low[larger] ^ low[smaller]).astype(np.int64) + np.bitwise_count(high[larger] ^ high[smaller])
-        ok &= apart <= both - 2 * need
-        yield smaller[ok], larger[ok]
+        ok = np.minimum(n[larger] - place[larger], n[smaller] - place[smaller]) >= need
+        larger, smaller, both, need = larger[ok], smaller[ok], both[ok], need[ok]
+        differ, odd = fold[larger] ^ fold[smaller], high[larger] ^ high[smaller]
+        apart = np.where(n[smaller] > WIDE, np.bitwise_count(differ ^ odd).astype(np.int64) + np.bitwise_count(odd), np.bitwise_count(differ))
+        ok = apart <= both - 2 * need
+        yield smaller[ok], larger[ok], apart[ok]
+
+
+def matched(x: dict[str, np.ndarray], percent: int, keep: int, asked: bool = False, between: bool = False):
+    """late, early (sets), alike (per mille), more: the keep candidates of each late posting that look most alike; with asked those of marked sets, with between those across sides."""
+    order = np.lexsort((x["set"], x["word"].astype(np.int64) << 32 | x["n"]))
+    x = _picked(x, order)
+    new = np.ones(len(order), bool)
+    new[1:] = (x["set"][1:] != x["set"][:-1]) | (x["word"][1:] != x["word"][:-1])
+    if not new.all():  # a set comes from several tasks: its first line counts
+        several = ~new
+        several[:-1] |= ~new[1:]
+        at, group, first = np.flatnonzero(several), np.cumsum(new), np.arange(len(new))
+        first[at] = at[np.lexsort((x["number"][at], x["doc"][at], group[at]))]
+        x = _picked(x, first[new])
+    for s, g, apart in _pairs(x["word"], x["n"], x["place"], x["fold"], x["high"], percent):
+        if between:
+            ok = x["side"][s] != x["side"][g]
+            s, g, apart = s[ok], g[ok], apart[ok]
+        met, back = np.unique(np.concatenate([s, g]), return_inverse=True)
+        rank = np.empty(len(met), np.int64)
+        rank[np.lexsort((x["set"][met], x["number"][met], x["doc"][met]))] = np.arange(len(met))
+        rank = rank[back]
+        later = rank[: len(s)] > rank[len(s) :]
+        late, early = np.where(later, s, g), np.where(later, g, s)
+        both = x["n"][s] + x["n"][g]
+        alike = 1000 * (both - apart) // (both + apart)
+        if asked:
+            ok = x["asked"][late]
+            late, early, alike = late[ok], early[ok], alike[ok]
+        if not len(late):
+            continue
+        order = np.lexsort((x["set"][early], -alike, late))
+        late, early, alike = late[order], early[order], alike[order]
+        head = np.concatenate([[True], late[1:] != late[:-1]])
+        group = np.cumsum(head) - 1
+        more = np.bincount(group)[group] > keep if keep else np.zeros(len(late), bool)
+        use = np.arange(len(late)) - np.flatnonzero(head)[group] < keep if keep else np.ones(len(late), bool)
+        late, early = x["set"][late[use]], x["set"][early[use]]
+        alike, more = alike[use], more[use]
+        # A pair comes once from each common word: here one row is enough.
+        known, back = np.unique(np.concatenate([late, early]), return_inverse=True)
+        _, one, back = np.unique(back[: len(late)] * len(known) + back[len(late) :], return_index=True, return_inverse=True)
+        yield late[one], early[one], alike[one], np.bincount(back, more, len(one)) > 0
+
 
+_MADE = "late long, early long, alike int, more boolean, bucket long, block binary"
 
-def candidates(posts: DataFrame, percent: int, keep: int) -> DataFrame:
-    """late, early (sets), their first places, more: candidates of each word, the keep earliest of every later set."""
+
+def _as_rows(found, blocks=()):
+    import pyarrow as pa
+
+    form = pa.schema([("late", pa.int64()), ("early", pa.int64()), ("alike", pa.int32()), ("more", pa.bool_()), ("bucket", pa.int64()), ("block", pa.binary())])
+    if blocks:
+        return pa.RecordBatch.from_arrays([pa.nulls(len(blocks), f.type) for f in list(form)[:4]] + [pa.array([b for b, _ in blocks], pa.int64()), pa.array([x for _, x in blocks], pa.binary())], schema=form)
+    late, early, alike, more = found
+    return pa.RecordBatch.from_arrays([pa.array(late), pa.array(early), pa.array(alike.astype(np.int32)), pa.array(more), pa.nulls(len(late), pa.int64()), pa.nulls(len(late), pa.binary())], schema=form)
+
+
+def candidates(posts: DataFrame, percent: int, keep: int, asked: bool = False, hot: int = HOT) -> DataFrame:
+    """late, early, alike, more of the candidates in postings (bucket, n, block)."""
 
     def scan(batches):
+        bucket, held, n, limit, over = None, [], 0, 0, np.zeros(0, np.uint32)
+
+        def split():
+            """The held postings without those of hot words, and these as a block."""
+            nonlocal over
+            x = _joined(held)
+            word, many = np.unique(x["word"], return_counts=True)
+            over = np.union1d(over, word[many > hot])
+            if not len(over):
+                return x, None
+            gone = np.isin(x["word"], over)
+            away = _picked(x, gone)
+            return _picked(x, ~gone), packed(away, np.array([0, len(away["word"])]))[0] if gone.any() else None
+
+        def finish():
+            x, away = split()
+            if away:
+                yield _as_rows(None, [(bucket, away)])
+            if len(x["word"]):
+                for found in matched(x, percent, keep, asked):
+                    yield _as_rows(found)
+
+        for batch in batches:
+            for b, many, block in zip(batch.column("bucket").to_pylist(), batch.column("n").to_pylist(), batch.column("block").to_pylist()):
+                if b != bucket:
+                    if held:
+                        yield from finish()
+                    bucket, held, n, limit, over = b, [], 0, 4 * hot, np.zeros(0, np.uint32)
+                held.append(unpacked(block))
+                n += many
+                if n > limit:
+                    x, away = split()
+                    if away:
+                        yield _as_rows(None, [(bucket, away)])
+                    held, n = [x], len(x["word"])
+                    limit = max(limit, 2 * n)
+        if held:
+            yield from finish()
+
+    small_batches(posts.sparkSession)
+    made = written(posts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(scan, _MADE), "met")
+    hot_blocks, columns = made.where("block IS NOT NULL").select("bucket", "block"), ["late", "early", "alike", "more"]
+    found = made.where("block IS NULL").select(*columns)
+    return found if hot_blocks.isEmpty() else found.unionByName(_hot_candidates(hot_blocks, percent, keep, asked, hot).select(*columns))
+
+
+def _hot_candidates(blocks: DataFrame, percent: int, keep: int, asked: bool, hot: int) -> DataFrame:
+    """The candidates of words with over hot postings: blocks of half as many meet two by two, one pair of them in a task at a time."""
+    names = ["bucket", "word", "set", "fold", "high", "n", "place", "doc", "number"]
+
+    def rows_of(batch):
         import pyarrow as pa
 
-        names = ("word", "size", "set", "doc", "number", "place", "low", "high")
-        held = {k: np.zeros(0, np.int64) for k in names}
-
-        def matched(x):
-            # A set comes from several batches: its first copy stands first.
-            new = np.ones(len(x["word"]), bool)
-            new[1:] = (x["set"][1:] != x["set"][:-1]) | (x["word"][1:] != x["word"][:-1])
-            x = {k: v[new] for k, v in x.items()}
-            rank = np.empty(len(new := x["word"]), np.int64)
-            rank[np.lexsort((x["set"], x["number"], x["doc"]))] = np.arange(len(new))
-            for s, g in _pairs(x["word"], x["size"], x["place"], x["low"].view(np.uint64), x["high"].view(np.uint64), percent):
-                late, early = np.where(rank[s] > rank[g], s, g), np.where(rank[s] > rank[g], g, s)
-                yield x, rank, late, early
-
-        def out(x, rank, late, early):
-            order = np.lexsort((rank[early], late))
-            late, early = late[order], early[order]
-            first = np.concatenate([[True], late[1:] != late[:-1]]) if len(late) else np.zeros(0, bool)
-            at = np.arange(len(late)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(late) else np.zeros(0, np.int64)
-            size = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1] if len(late) else np.zeros(0, np.int64)
-            use = at < keep if keep else np.ones(len(late), bool)
-            cols = [x["set"][late[use]], x["set"][early[use]], x["doc"][late[use]], x["number"][late[use]].astype(np.int32), x["doc"][early[use]], x["number"][early[use]].astype(np.int32)]
-            return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array((size > keep)[use] if keep else np.zeros(int(use.sum()), bool))], ["late", "early", "late_doc", "late_number", "early_doc", "early_number", "more"])
-
-        def flush(x):
-            # Blocks are merged while they are small, so that "earliest" is nearly always over a whole group.
-            for part in matched(x):
-                yield out(*part)
+        parts = [unpacked(b) for b in batch.column("block").to_pylist()]
+        x = _joined(parts)
+        yield {k: pa.array((x[k].view(np.int64) if x[k].dtype == np.uint64 else x[k].astype(np.int64))) for k in names[1:]} | {"bucket": batch.column("bucket").take(pa.array(np.repeat(np.arange(len(parts)), [len(p["word"]) for p in parts]))), "asked": pa.array(x["asked"])}
 
-        for batch in batches:
-            held = {k: np.concatenate([held[k], batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k in names}
-            end = np.searchsorted(held["word"], held["word"][-1]) if len(held["word"]) else 0  # words come in order; the last goes on
-            if end:
-                yield from flush({k: v[:end] for k, v in held.items()})
-                held = {k: v[end:] for k, v in held.items()}
-        if len(held["word"]):
-            yield from flush(held)
+    posts = map_arrow(blocks, rows_of, ", ".join(f"{k} long" for k in names) + ", asked boolean")
+    # A set's first line: its other columns are the same wherever it stands.
+    posts = posts.groupBy("bucket", "word", "set").agg(F.min(F.struct("doc", "number")).alias("at"), *[F.first(k).alias(k) for k in ("fold", "high", "n", "place", "asked")])
+    posts = written(posts.select("bucket", "word", "set", "fold", "high", "n", "place", "asked", "at.*"), "hot")
+    parts = posts.groupBy("bucket", "word").agg(F.ceil(2 * F.count("*") / hot).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
+    jobs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
+    dealt = posts.join(parts, ["bucket", "word"]).withColumn("own", own).withColumn("job", F.explode(jobs)).select(*names, "asked", "own", "job.*")
+
+    def scan(batches):
+        key, held = None, []
 
-    by = ["word", "size", "set", "doc", "number"]
-    made = posts.repartition("word").sortWithinPartitions(*by).mapInArrow(scan, "late long, early long, late_doc long, late_number int, early_doc long, early_number int, more boolean")
-    return made
+        def finish():
+            x = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
+            x |= {k: x[k].view(np.uint64) for k in ("fold", "high")}
+            for found in matched(x, percent, keep, asked, key[2] != key[3]):
+                yield _as_rows(found)
+
+        for batch in batches:
+            cols = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in (*names, "asked", "own", "i", "j")}
+            keys = list(zip(*(cols[k].tolist() for k in ("bucket", "word", "i", "j"))))
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if keys[a] != key:
+                    if held:
+                        yield from finish()
+                    key, held = keys[a], []
+                held.append({k: cols[k][a:b] for k in (*names, "asked")} | {"side": cols["own"][a:b]})
+        if held:
+            yield from finish()
+
+    by = ["bucket", "word", "i", "j"]
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, _MADE)
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set, words (sorted 64-bit hashes) of the wanted (set, doc)."""
-    lists = wanted.groupBy("doc").agg(F.collect_set("set").alias("want"))
+    """set, words (sorted 64-bit hashes) of the wanted sets, and of some others: the scan knows them by a bitmap of fixed size."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, "set"))
 
     def work(batch):
         import pyarrow as pa
 
-        own, want = Lines(batch.column("text").to_pylist()), batch.column("want")
-        wanted = np.stack([np.repeat(np.arange(len(want)), want.value_lengths().to_numpy()), want.flatten().to_numpy()], axis=1)
-        both, first = np.unique(np.concatenate([wanted, np.stack([own.doc, own.set], axis=1)]), axis=0, return_inverse=True)
-        asked = np.zeros(len(both), bool)
-        asked[first[: len(wanted)]] = True
-        hit = np.flatnonzero(asked[first[len(wanted) :]])
+        own = Lines(batch.column("text").to_pylist())
+        hit = np.flatnonzero(is_marked(shared.value, own.set))
+        hit = hit[np.unique(own.set[hit], return_index=True)[1]]
         yield {"set": own.set[hit], "words": pa.array([own.words[a:b].tobytes() for a, b in zip(own.start[hit].tolist(), (own.start + own.n)[hit].tolist())], pa.binary())}
 
-    return map_arrow(rows.select("doc", "text").join(lists, "doc"), work, "set long, words binary").dropDuplicates(["set"])
+    return map_arrow(rows, work, "set long, words binary").dropDuplicates(["set"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -267,37 +471,38 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(one, "late").join(two, "early").select("late", "x", "y"), work, "late long")
 
 
-def _decided(rows: DataFrame, posts: DataFrame, percent: int, keep: int) -> tuple[DataFrame, DataFrame | None]:
-    """Sets with an earlier match, and those still open as some of their candidates were not kept (None: there are none)."""
-    made = candidates(posts, percent, keep)
-    found = made.groupBy("late", "early").agg(F.max("more").alias("more"), F.first("late_doc").alias("late_doc"), F.first("early_doc").alias("early_doc"), F.min(F.struct("early_doc", "early_number")).alias("at"))
-    found = written(found, "candidates")
+def _decided(rows: DataFrame, made: DataFrame, percent: int, keep: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets with an earlier match among the candidates made; those still open as some of their candidates were not kept; the sets' words."""
+    found = written(made.groupBy("late", "early").agg(F.max("alike").alias("alike"), F.max("more").alias("more")), "candidates")
     free_shuffles(rows.sparkSession)  # the postings, several times the size of what follows
-    both = found.select(F.col("late").alias("set"), F.col("late_doc").alias("doc")).union(found.select("early", "early_doc")).groupBy("set").agg(F.min("doc").alias("doc"))
-    sets = written(_sets(rows, both), "sets")
-    free_shuffles(rows.sparkSession)
-    best = found.groupBy("late").agg(F.min(F.struct("at", "early"))["early"].alias("early"))
+    sets = written(_sets(rows, found.select(F.explode(F.array("late", "early")).alias("set"))), "sets")
+    best = found.groupBy("late").agg(F.max(F.struct("alike", "early"))["early"].alias("early"))
     hit = written(_confirmed(best, sets, percent), "matched")
-    rest = found.join(hit, "late", "left_anti").join(best, ["late", "early"], "left_anti").select("late", "early")
+    rest = found.join(hit, "late", "left_anti").select("late", "early")
     gone = hit.union(written(_confirmed(rest, sets, percent).distinct(), "matched"))
-    open_ = found.where("more").select(F.col("late").alias("set")).distinct().join(gone.withColumnRenamed("late", "set"), "set", "left_anti") if keep else None
-    return gone, open_
+    return gone, found.where("more").select(F.col("late").alias("set")).distinct().join(gone.withColumnRenamed("late", "set"), "set", "left_anti"), sets
 
 
-def removed_lines(rows: DataFrame, percent: int = PERCENT, keep: int = KEEP) -> DataFrame:
+def removed_lines(rows: DataFrame, percent: int = PERCENT, keep: int = KEEP, hot: int = HOT, flush: int = FLUSH) -> DataFrame:
     """doc, mark, numbers (array) of the lines to be removed from rows (doc, mark, text)."""
-    lines, counts = scanned(rows)
-    posts = postings(rows, counts, percent)
-    gone, undecided = _decided(rows, posts, percent, keep)
-    if undecided is not None:
-        undecided = written(undecided, "undecided")
-        if not undecided.isEmpty():
-            # Their words' postings once more, with every candidate.
-            words = posts.join(undecided, "set", "left_semi").select("word").distinct()
-            again, _ = _decided(rows, posts.join(words, "word", "left_semi"), percent, 0)
-            gone = gone.union(again).distinct()
+    lines, counts, n = scanned(rows)
+    context = rows.sparkSession.sparkContext
+    shared, buckets = context.broadcast(counts), 1 << min(30, max(10, (n // (4 * PER_BUCKET)).bit_length()))
+    gone, undecided, sets = _decided(rows, candidates(postings(rows, shared, percent, buckets, None, flush), percent, keep, False, hot), percent, keep)
+    undecided = written(undecided, "undecided")
+    if not undecided.isEmpty():
+
+        def words_of(batch):
+            raw = batch.column("words").to_pylist()
+            yield {"word": probing(np.frombuffer(b"".join(raw), np.uint64), np.fromiter((len(w) >> 3 for w in raw), np.int64, len(raw)), shared.value, percent)[0].view(np.int64)}
+
+        words = map_arrow(sets.join(undecided, "set", "left_semi").select("words"), words_of, "word long")
+        asked = context.broadcast(bitmap(words, "word")), context.broadcast(bitmap(undecided, "set"))
+        again, _, _ = _decided(rows, candidates(postings(rows, shared, percent, buckets, asked, flush), percent, 0, True, hot), percent, 0)
+        gone = gone.union(again)
+    gone = gone.select(F.col("late").alias("set"), F.lit(True).alias("late")).distinct()
     place = F.struct("doc", "number", "mark")
-    firsts = lines.groupBy("set").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(gone.select(F.col("late").alias("set"), F.lit(True).alias("late")), "set", "left").where("n > 1 OR late")
+    firsts = lines.groupBy("set").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(gone, "set", "left").where("n > 1 OR late")
     out = lines.join(firsts, "set").where(F.coalesce("late", F.lit(False)) | (place > F.col("first")))
     return out.groupBy("doc", "mark").agg(F.collect_set("number").alias("numbers"))
 
@@ -313,17 +518,32 @@ def cut(text: bytes, numbers: list[int] | None) -> bytes:
     return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in gone)
 
 
+def _masks(gone: DataFrame) -> DataFrame:
+    """doc, mark, mask: a byte for each line, 1 where it goes."""
+
+    def work(batch):
+        masks = []
+        for numbers in batch.column("numbers").to_pylist():
+            mask = np.zeros(max(numbers) + 1, np.uint8)
+            mask[numbers] = 1
+            masks.append(mask.tobytes())
+        yield {"doc": batch.column("doc"), "mark": batch.column("mark"), "mask": masks}
+
+    return map_arrow(gone, work, "doc long, mark long, mask binary")
+
+
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, keep: int = KEEP) -> DataFrame:
-    """docs with text without its later matches, and n_chars (if docs has it) the new length; null texts stay null."""
+    """docs with text without its later matches, and n_chars (if docs has it) the new length; null texts stay null. docs may have any columns beside doc_id and text."""
     names = docs.columns
-    marked = docs.withColumns({"_doc": F.coalesce("doc_id", F.lit(LAST)).cast("long"), "_mark": F.xxhash64(utf8())})
-    gone = removed_lines(_rows(docs), percent, keep).withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
-    lines = F.split("text", "\n")
-    text = F.when(F.col("numbers").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("numbers", i)), "\n"))
-    out = marked.join(gone, ["_doc", "_mark"], "left").withColumn("text", text)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("numbers").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return out.select(*names)
+    # The row travels as one struct, so that no column's name can clash.
+    whole = docs.select(F.struct(*[docs[c] for c in names]).alias("row"))
+    whole = whole.select("row", F.coalesce("row.doc_id", F.lit(LAST)).cast("long").alias("doc"), F.xxhash64(utf8("row.text")).alias("mark"))
+    out = whole.join(_masks(removed_lines(_rows(docs), percent, keep)), ["doc", "mark"], "left")
+    left = F.filter(F.split("row.text", "\n"), lambda x, i: F.substring("mask", i + 1, F.lit(1)) != F.lit(b"\x01"))
+    text = F.when(F.col("mask").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
+    out = out.select("row", "mask", text.alias("text"))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("mask").isNull(), F.col("row.n_chars")).otherwise(F.char_length("text").cast("long")) if "n_chars" in names else None}
+    return out.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in names])
 
 
 def line_digests(docs: DataFrame, percent: int = PERCENT, keep: int = KEEP) -> DataFrame:
