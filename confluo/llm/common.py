@@ -156,11 +156,15 @@ def word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def span_hashes(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span, eight bytes a step for all spans at once; spans over LONG_WORD bytes by xxh64."""
     size = end - start
-    out = mixed(size.astype(np.uint64) * MULT)
     padded = raw + bytes(8)
     eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
-    left = np.flatnonzero(size <= LONG_WORD)
-    at, rest = start[left], size[left]
+    out = eight[start]
+    out &= _MASKS[np.minimum(size, 8)]
+    out ^= _SIZES[np.minimum(size, LONG_WORD)]
+    out *= MULT
+    out = mixed(out)
+    left = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    at, rest = start[left] + 8, size[left] - 8
     while len(left):
         chunk = eight[at] & _MASKS[np.minimum(rest, 8)]
         out[left] = mixed((out[left] ^ chunk) * MULT)
@@ -173,9 +177,15 @@ def span_hashes(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64-bit integers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+_SIZES = mixed(np.arange(LONG_WORD + 1, dtype=np.uint64) * MULT)
 
 
 def shingles(hashes: np.ndarray, k: int) -> np.ndarray:

@@ -22,8 +22,8 @@ what a task holds is bounded whatever a word's share.
 A class needs one earlier match only, so pairs in a group of copies are never all made: of a probe's
 candidates under a word the KEEP that look most alike go on, with a mark where there were more. First the
 most alike candidate of every class is verified on full sets, then all others of the classes still undecided; those
-that use up their candidates and bear the mark are probed again against everything. Their words and sets
-reach that second scan as bitmaps of a fixed size, which let more through but lose nothing. Words and sets
+that use up their candidates and bear the mark are probed again against everything. Their words reach that
+second scan as a bitmap of a fixed size, which lets more lines through but loses none. Words and sets
 are compared by 64-bit hashes (a word in a posting by 42 bits, which adds candidates only).
 """
 
@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import bitmap, documents, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
+from confluo.llm.common import MULT, bitmap, documents, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
 
 PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 4
 FLUSH, PER_BUCKET, HOT = 1 << 19, 1 << 16, 1 << 16
@@ -66,7 +66,10 @@ class Lines:
         start, end = word_spans(buffer)
         breaks = np.flatnonzero(buffer == 10)
         heads = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-        at, line = np.unique(np.searchsorted(breaks, start), return_inverse=True)  # the break that ends a text is a break too
+        # Words before each break and after the last; the break that ends a text is a break too.
+        before = np.diff(np.concatenate([[0], np.searchsorted(start, breaks), [len(start)]]))
+        at = np.flatnonzero(before)
+        line = np.repeat(np.arange(len(at)), before[at])
         self.doc = np.searchsorted(heads, np.concatenate([[-1], breaks])[at] + 1, "right") - 1
         self.number = at - np.searchsorted(breaks, heads)[self.doc]
         words = span_hashes(raw, start, end)
@@ -76,9 +79,21 @@ class Lines:
         new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
         self.words, self.line = words[new], line[new]
         self.n = np.bincount(self.line, minlength=len(at))
-        self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]]).astype(np.int64) if len(at) else np.zeros(0, np.int64)
+        self.start = np.cumsum(self.n) - self.n
         self.set = mixed(self._over(np.add, mixed(self.words)) ^ self.n.astype(np.uint64)).view(np.int64)
 
+    @classmethod
+    def known(cls, sets: np.ndarray, words: list[bytes], number: np.ndarray) -> Lines:
+        """Lines of given words, one a document."""
+        own = cls.__new__(cls)
+        own.set, own.number, own.doc, own.words = sets, number, np.arange(len(sets)), np.frombuffer(b"".join(words), np.uint64)
+        own.n = np.fromiter((len(w) >> 3 for w in words), np.int64, len(words))
+        own.start, own.line = np.cumsum(own.n) - own.n, np.repeat(np.arange(len(words)), own.n)
+        return own
+
+    def packed_words(self, at: np.ndarray) -> list[bytes]:
+        return [self.words[a:b].tobytes() for a, b in zip(self.start[at].tolist(), (self.start + self.n)[at].tolist())]
+
     def _over(self, f, x: np.ndarray) -> np.ndarray:
         return f.reduceat(x, self.start) if len(self.start) else np.zeros(0, np.uint64)
 
@@ -96,9 +111,9 @@ class Lines:
         return words, np.flatnonzero(mine)[line], place
 
 
-def first_of(sets: np.ndarray, doc: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """The place of each set's first line in the order of (doc, number); rows come in any order."""
-    order = np.lexsort((number, doc, sets))
+def first_of(sets: np.ndarray, *place: np.ndarray) -> np.ndarray:
+    """The place of each set's first line in the order of (doc, number and whatever follows); rows come in any order."""
+    order = np.lexsort((*place[::-1], sets))
     return order[np.unique(sets[order], return_index=True)[1]]
 
 
@@ -122,49 +137,111 @@ def coded(counts: np.ndarray) -> np.ndarray:
     return np.where(counts < 32, counts, np.minimum(steps, 255)).astype(np.uint8)
 
 
-def scanned(rows: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
-    """set, doc, mark, number of every line with words; the words' bucket counts; the number of words."""
+#: A line as it is kept: late marks one that goes whatever its set's fate.
+LINE = np.dtype([("set", "<i8"), ("doc", "<i8"), ("mark", "<i8"), ("number", "<i4"), ("late", "?")])
+
+
+def scanned(rows: DataFrame, flush: int) -> tuple[DataFrame, np.ndarray, int]:
+    """block: all lines with words, up to about flush in a block; the words' bucket counts; the number of words."""
 
     def work(batches):
         import pyarrow as pa
 
-        form = pa.schema([("set", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("number", pa.int32()), ("slice", pa.int32()), ("counts", pa.binary())])
-        at_bucket, counts, waiting = np.zeros(0, np.uint32), np.zeros(0, np.int64), []
+        form = pa.schema([("slice", pa.int32()), ("block", pa.binary())])
+        at_bucket, counts, waiting, lines = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], []
 
         def summed():
             at, back = np.unique(np.concatenate([at_bucket, *(a for a, _ in waiting)]), return_inverse=True)
             return at, np.bincount(back, np.concatenate([counts, *(c for _, c in waiting)]), len(at)).astype(np.int64)
 
+        def kept():
+            """The lines held: all but the first of each set go, and are marked."""
+            x = np.concatenate(lines)
+            x["late"] = True
+            x["late"][first_of(x["set"], x["doc"], x["number"], x["mark"])] = False
+            return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.array([x.tobytes()], pa.binary())], schema=form)
+
         for batch in batches:
             own = Lines(batch.column("text").to_pylist())
             waiting.append(np.unique((own.words >> np.uint64(64 - BUCKETS)).astype(np.uint32), return_counts=True))
             if sum(len(a) for a, _ in waiting) > 1 << 20:
                 (at_bucket, counts), waiting = summed(), []
-            at, n = pa.array(own.doc), len(own.doc)
-            yield pa.RecordBatch.from_arrays([pa.array(own.set), batch.column("doc").take(at), batch.column("mark").take(at), pa.array(own.number.astype(np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=form)
+            x = np.empty(len(own.n), LINE)
+            x["set"], x["number"] = own.set, own.number
+            x["doc"], x["mark"] = (batch.column(k).to_numpy()[own.doc] for k in ("doc", "mark"))
+            lines.append(x)
+            if sum(map(len, lines)) >= flush:
+                yield kept()
+                lines = []
+        if lines:
+            yield kept()
         at_bucket, counts = summed()
         cuts = np.searchsorted(at_bucket, np.arange(1, SLICES) << (BUCKETS - 6))
         pairs = np.stack([at_bucket, np.minimum(counts, 0xFFFFFFFF)]).astype("<u4")
         parts = [x.tobytes() for x in np.split(pairs, cuts, axis=1)]
-        yield pa.RecordBatch.from_arrays([pa.nulls(SLICES, f.type) for f in list(form)[:4]] + [pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=form)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=form)
 
     def total(batches):
         import pyarrow as pa
 
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for s, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
+            for s, raw in zip(batch.column("slice").to_pylist(), batch.column("block").to_pylist()):
                 at, n = np.frombuffer(raw, "<u4").reshape(2, -1)
                 own = sums.setdefault(s, np.zeros((1 << BUCKETS) // SLICES, np.uint64))
                 own[at & np.uint32(len(own) - 1)] += n
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([coded(x).tobytes() for x in sums.values()], pa.binary()), pa.array([int(x.sum()) for x in sums.values()], pa.int64())], ["slice", "counts", "n"])
 
     small_batches(rows.sparkSession)
-    table = written(rows.mapInArrow(work, "set long, doc long, mark long, number int, slice int, counts binary"), "lines")
+    table = written(rows.mapInArrow(work, "slice int, block binary"), "lines")
     # SLICES rows of a fixed size come to the driver.
-    sums = table.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").mapInArrow(total, "slice int, counts binary, n long").collect()
+    sums = table.where("slice IS NOT NULL").repartition("slice").mapInArrow(total, "slice int, counts binary, n long").collect()
     counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in sorted(sums)]) if sums else np.zeros(1 << BUCKETS, np.uint8)
-    return table.where("slice IS NULL").select("set", "doc", "mark", "number"), counts, sum(r["n"] for r in sums)
+    return table.where("slice IS NULL").select("block"), counts, sum(r["n"] for r in sums)
+
+
+def _gone(lines: DataFrame, late: DataFrame, buckets: int) -> DataFrame:
+    """doc, mark, number of the lines that go: of each set all but the first, or all if the set is in late (set)."""
+
+    def deal(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for block in batch.column("block").to_pylist():
+                x = np.frombuffer(block, LINE)
+                # What goes anyway is spread by document.
+                bucket = np.where(x["late"], mixed(x["doc"].astype(np.uint64)).view(np.int64), x["set"]) & (buckets - 1)
+                order = np.argsort(bucket, kind="stable")
+                x, bucket = x[order], bucket[order]
+                cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(x)]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()), pa.nulls(len(cuts) - 1, pa.int64())], ["bucket", "block", "set"])
+
+    def scan(batches):
+        import pyarrow as pa
+
+        def finish():
+            x = np.concatenate([np.frombuffer(b, LINE) for b in blocks]) if blocks else np.zeros(0, LINE)
+            stays = np.zeros(len(x), bool)
+            own = np.flatnonzero(~x["late"])
+            stays[own[first_of(*(x[k][own] for k in ("set", "doc", "number", "mark")))]] = True
+            stays &= ~np.isin(x["set"], np.array(sets, np.int64))
+            x = x[~stays]
+            return pa.RecordBatch.from_arrays([pa.array(x[k]) for k in ("doc", "mark", "number")], ["doc", "mark", "number"])
+
+        last, blocks, sets = None, [], []
+        for batch in batches:
+            for bucket, block, one in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist(), batch.column("set").to_pylist()):
+                if bucket != last and last is not None:
+                    yield finish()
+                    blocks, sets = [], []
+                last = bucket
+                blocks.append(block) if block is not None else sets.append(one)
+        if last is not None:
+            yield finish()
+
+    late = late.select(F.col("set").bitwiseAND(F.lit(buckets - 1)).alias("bucket"), F.lit(None).cast("binary").alias("block"), "set")
+    dealt = lines.mapInArrow(deal, "bucket long, block binary, set long").unionByName(late)
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(scan, "doc long, mark long, number int")
 
 
 _HEAD = struct.Struct("<Iq5B")
@@ -214,14 +291,12 @@ def _picked(x: dict[str, np.ndarray], at) -> dict[str, np.ndarray]:
     return {k: v[at] for k, v in x.items()}
 
 
-def postings(rows: DataFrame, shared, percent: int, buckets: int, asked=None, flush: int = FLUSH) -> DataFrame:
-    """bucket, n, block: the probing words of each task's distinct lines. With asked, bitmaps of words and of sets: those words alone, and the lines marked whose sets are asked for."""
+def postings(rows: DataFrame, lines_of, shared, percent: int, buckets: int, flush: int, asked=None) -> DataFrame:
+    """bucket, n, block: the probing words of each task's distinct lines; lines_of a batch of rows gives its Lines. With asked, a bitmap of sets, the lines of those sets are marked."""
 
     def work(batches):
         import pyarrow as pa
 
-        lines, posts, held = [], [], 0
-
         def dealt():
             line = {k: np.concatenate([x[k] for x in lines]) for k in lines[0]}
             word, at, place = (np.concatenate(x) for x in zip(*posts))
@@ -229,36 +304,76 @@ def postings(rows: DataFrame, shared, percent: int, buckets: int, asked=None, fl
             keep[first_of(line["set"], line["doc"], line["number"])] = True
             use = np.flatnonzero(keep[at])
             bucket = (word[use] & np.uint64(buckets - 1)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
-            use = use[np.argsort(bucket, kind="stable")]
-            bucket = (word[use] & np.uint64(buckets - 1)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            use, bucket = use[order], bucket[order].astype(np.int64)
             cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(use)]])
             blocks = packed({k: v[at[use]] for k, v in line.items()} | {"word": (word[use] >> np.uint64(32)).astype(np.uint32), "place": place[use]}, cuts)
             return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array(np.diff(cuts)), pa.array(blocks, pa.binary())], ["bucket", "n", "block"])
 
+        lines, posts, held, n = [], [], 0, 0
         for batch in batches:
-            own, ids = Lines(batch.column("text").to_pylist()), batch.column("doc").to_numpy()
+            own, ids = lines_of(batch), batch.column("doc").to_numpy()
             word, at, place = own.prefixes(shared.value, percent, ids)
-            if asked:
-                hit = is_marked(asked[0].value, word)
-                word, at, place = word[hit], at[hit], place[hit]
-            used, at = np.unique(at, return_inverse=True)
             fold, high = own.parities()
-            lines.append({"set": own.set[used], "n": own.n[used], "fold": fold[used], "high": high[used], "doc": ids[own.doc[used]], "number": own.number[used]} | ({"asked": is_marked(asked[1].value, own.set[used])} if asked else {}))
-            posts.append((word, at + held_lines(lines), place))
+            lines.append({"set": own.set, "n": own.n, "fold": fold, "high": high, "doc": ids[own.doc], "number": own.number} | ({"asked": is_marked(asked.value, own.set)} if asked else {}))
+            posts.append((word, at + n, place))
+            n += len(own.n)
             held += len(word)
             if held >= flush:
                 yield dealt()
-                lines, posts, held = [], [], 0
+                lines, posts, held, n = [], [], 0, 0
         if held:
             yield dealt()
 
-    def held_lines(lines):
-        return sum(len(x["set"]) for x in lines[:-1])
-
     small_batches(rows.sparkSession)
     return rows.mapInArrow(work, "bucket long, n long, block binary")
 
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Classes that rise with the size."""
+    return np.floor(np.log(n) / np.log(4 / 3)).astype(np.int64)
+
+
+def _keys(words: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return mixed(words + classes.astype(np.uint64) * MULT)
+
+
+def _asked_keys(sets: DataFrame, shared, percent: int) -> DataFrame:
+    """key: the probing words of sets (words) with each class of sizes that a similar set may have."""
+
+    def work(batch):
+        raw = batch.column("words").to_pylist()
+        n = np.fromiter((len(w) >> 3 for w in raw), np.int64, len(raw))
+        word, line, _ = probing(np.frombuffer(b"".join(raw), np.uint64), n, shared.value, percent)
+        low, high = size_class(_ceil(percent * n, 100))[line], size_class(100 * n // percent)[line]
+        many = high - low + 1
+        classes = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        yield {"key": _keys(np.repeat(word, many), classes).view(np.int64)}
+
+    return map_arrow(sets, work, "key long")
+
+
+def _near(rows: DataFrame, keys) -> DataFrame:
+    """set, doc, number, words of the lines that hold a marked word in a marked class of sizes."""
+
+    def work(batch):
+        import pyarrow as pa
+
+        own = Lines(batch.column("text").to_pylist())
+        hit = np.unique(own.line[is_marked(keys.value, _keys(own.words, size_class(own.n)[own.line]))])
+        yield {"set": own.set[hit], "doc": batch.column("doc").take(pa.array(own.doc[hit])), "number": own.number[hit].astype(np.int32), "words": pa.array(own.packed_words(hit), pa.binary())}
+
+    return map_arrow(rows, work, "set long, doc long, number int, words binary")
+
+
+def _of_texts(batch) -> Lines:
+    return Lines(batch.column("text").to_pylist())
+
+
+def _of_words(batch) -> Lines:
+    return Lines.known(batch.column("set").to_numpy(), batch.column("words").to_pylist(), batch.column("number").to_numpy().astype(np.int64))
+
+
 def _pairs(word, n, place, fold, high, percent):
     """Index pairs (smaller, larger set) that pass the filters and their differing bits, in blocks; arrays are sorted by word and size."""
     group = np.cumsum(np.concatenate([[0], word[1:] != word[:-1]]))
@@ -450,7 +565,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         own = Lines(batch.column("text").to_pylist())
         hit = np.flatnonzero(is_marked(shared.value, own.set))
         hit = hit[np.unique(own.set[hit], return_index=True)[1]]
-        yield {"set": own.set[hit], "words": pa.array([own.words[a:b].tobytes() for a, b in zip(own.start[hit].tolist(), (own.start + own.n)[hit].tolist())], pa.binary())}
+        yield {"set": own.set[hit], "words": pa.array(own.packed_words(hit), pa.binary())}
 
     return map_arrow(rows, work, "set long, words binary").dropDuplicates(["set"])
 
@@ -471,39 +586,33 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(one, "late").join(two, "early").select("late", "x", "y"), work, "late long")
 
 
-def _decided(rows: DataFrame, made: DataFrame, percent: int, keep: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sets with an earlier match among the candidates made; those still open as some of their candidates were not kept; the sets' words."""
+def _decided(made: DataFrame, sets_of, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets with an earlier match among the candidates made; those still open as some of their candidates were not kept; the sets' words, which sets_of gives for the sets wanted."""
     found = written(made.groupBy("late", "early").agg(F.max("alike").alias("alike"), F.max("more").alias("more")), "candidates")
-    free_shuffles(rows.sparkSession)  # the postings, several times the size of what follows
-    sets = written(_sets(rows, found.select(F.explode(F.array("late", "early")).alias("set"))), "sets")
+    sets = written(sets_of(found.select(F.explode(F.array("late", "early")).alias("set"))), "sets")
     best = found.groupBy("late").agg(F.max(F.struct("alike", "early"))["early"].alias("early"))
     hit = written(_confirmed(best, sets, percent), "matched")
     rest = found.join(hit, "late", "left_anti").select("late", "early")
-    gone = hit.union(written(_confirmed(rest, sets, percent).distinct(), "matched"))
-    return gone, found.where("more").select(F.col("late").alias("set")).distinct().join(gone.withColumnRenamed("late", "set"), "set", "left_anti"), sets
+    gone = hit.union(written(_confirmed(rest, sets, percent).distinct(), "matched")).select(F.col("late").alias("set"))
+    return gone, found.where("more").select(F.col("late").alias("set")).distinct().join(gone, "set", "left_anti"), sets
 
 
 def removed_lines(rows: DataFrame, percent: int = PERCENT, keep: int = KEEP, hot: int = HOT, flush: int = FLUSH) -> DataFrame:
     """doc, mark, numbers (array) of the lines to be removed from rows (doc, mark, text)."""
-    lines, counts, n = scanned(rows)
+    lines, counts, n = scanned(rows, flush)
     context = rows.sparkSession.sparkContext
     shared, buckets = context.broadcast(counts), 1 << min(30, max(10, (n // (4 * PER_BUCKET)).bit_length()))
-    gone, undecided, sets = _decided(rows, candidates(postings(rows, shared, percent, buckets, None, flush), percent, keep, False, hot), percent, keep)
-    undecided = written(undecided, "undecided")
+    made = candidates(postings(rows, _of_texts, shared, percent, buckets, flush), percent, keep, False, hot)
+    free_shuffles(rows.sparkSession)  # the postings, several times the size of what follows
+    gone, undecided, sets = _decided(made, lambda wanted: _sets(rows, wanted), percent)
+    undecided = written(sets.join(undecided, "set", "left_semi"), "undecided")
     if not undecided.isEmpty():
-
-        def words_of(batch):
-            raw = batch.column("words").to_pylist()
-            yield {"word": probing(np.frombuffer(b"".join(raw), np.uint64), np.fromiter((len(w) >> 3 for w in raw), np.int64, len(raw)), shared.value, percent)[0].view(np.int64)}
-
-        words = map_arrow(sets.join(undecided, "set", "left_semi").select("words"), words_of, "word long")
-        asked = context.broadcast(bitmap(words, "word")), context.broadcast(bitmap(undecided, "set"))
-        again, _, _ = _decided(rows, candidates(postings(rows, shared, percent, buckets, asked, flush), percent, 0, True, hot), percent, 0)
+        near = written(_near(rows, context.broadcast(bitmap(_asked_keys(undecided.select("words"), shared, percent), "key"))), "near")
+        asked = context.broadcast(bitmap(undecided, "set"))
+        made = candidates(postings(near, _of_words, shared, percent, buckets, flush, asked), percent, 0, True, hot)
+        again, _, _ = _decided(made, lambda wanted: near.select("set", "words").join(wanted.distinct(), "set", "left_semi").dropDuplicates(["set"]), percent)
         gone = gone.union(again)
-    gone = gone.select(F.col("late").alias("set"), F.lit(True).alias("late")).distinct()
-    place = F.struct("doc", "number", "mark")
-    firsts = lines.groupBy("set").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(gone, "set", "left").where("n > 1 OR late")
-    out = lines.join(firsts, "set").where(F.coalesce("late", F.lit(False)) | (place > F.col("first")))
+    out = _gone(lines, gone.distinct(), buckets)
     return out.groupBy("doc", "mark").agg(F.collect_set("number").alias("numbers"))
 
 
