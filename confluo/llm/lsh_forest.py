@@ -16,13 +16,14 @@ share the first four digits of a tree are a region; regions of one class end the
 These find nearly all components at little cost, but not every pair of a region is among them. So, when
 their links are known, all other pairs of a region of over NEAR + 1 classes are compared too, unless both
 ends are connected already (`unconnected`): the classes of a region outside its largest component
-meet all its classes, in blocks of BLOCK that are dealt over tasks. What is left is verified, the most
-alike first. Two classes that share a region are thus in one component or have been compared.
+meet all its classes, in blocks of about BLOCK classes and BLOCK_SHINGLES shingles that are dealt over tasks. The tasks
+have the full sets and verify there, the most alike first, so no pairs leave them but the links that
+join two components. Two classes that share a region are thus in one component or have been compared.
 
 A pair whose digits agree in under LEAST of SIZE places is not verified: at the threshold of 0.75 the
 agreement is below that with probability under 1e-11, and four digits meet in none of the 32 trees with
 probability 5e-6. First each class's best candidate is verified, then all whose ends are not connected
-yet. Verification counts the shingles (40 bits of each hash) that both sets hold, per hub and salt.
+yet. Verification counts the shingles that both full sets hold, per hub and salt.
 The work on unconnected pairs grows with their number: with the square of a group of texts that are alike
 in over about a half, but not enough to be connected.
 
@@ -38,12 +39,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import documents, map_arrow, shingles, utf8, word_hashes, written
+from confluo.llm.common import bitmap, documents, is_marked, map_arrow, shingles, utf8, word_hashes, written
 from confluo.llm.graph import components
 
 K, SIZE, TREES, DEPTH = 5, 128, 32, 4
 NEAR, CLOSE, DENSE, LEAST, SALT = 7, 1, 16, 62, 256
-BLOCK, ALIKE, CHUNK = 1024, 92, 1 << 15
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 22
 PERCENT = 75
 
 _RNG = np.random.default_rng(20_011)
@@ -67,17 +68,6 @@ def signature(members: np.ndarray) -> np.ndarray:
     return (low * _MIX >> np.uint32(16)).astype(np.uint16)
 
 
-def _short(members: np.ndarray) -> bytes:
-    """40 bits of each hash."""
-    return np.ascontiguousarray(np.ascontiguousarray(members.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
-
-
-def _long(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel()
-
-
 def profiles(docs: DataFrame) -> DataFrame:
     """doc_id, mark (a hash of the text), n_shingles, digest and digits of each row."""
 
@@ -160,15 +150,17 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(likely, "pairs"), active
 
 
-def unconnected(active: DataFrame, classes: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """leaf, hub, agree: all pairs of a region of over NEAR + 1 classes with different roots that may be similar; each pair once, in its first common tree."""
-    dense = active.where(F.col("size") > NEAR + 1).select("region", "tree", "c")
+def _jobs(active: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """region, tree, i, j, side, c, root: the classes of regions of over NEAR + 1 classes with different roots, dealt to jobs so that all pairs outside the largest component meet.
+
+    A job (i, j) has block i of the others (side 0) and block j of the others (side 1; none if i = j) or, below zero, of the largest component.
+    """
+    dense = active.where(F.col("size") > NEAR + 1).select("region", "tree", "c").join(classes.select("c", "n_shingles"), "c")
     dense = dense.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    parts = dense.groupBy("region", "root").agg(F.count("*").alias("n")).groupBy("region")
-    parts = parts.agg(F.count("*").alias("roots"), F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("top")).where("roots > 1")
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    parts = parts.select("region", F.col("top.root").alias("top"), blocks(F.col("top.n")).alias("tops"), blocks(F.col("all") - F.col("top.n")).alias("others"))
-    # Jobs are (i, j): block i of the others with block j of the others (j >= i) or, below zero, of the largest component. side 0 is i, 1 is j.
+    parts = dense.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m")).groupBy("region")
+    parts = parts.agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.sum("m").alias("m"), F.max(F.struct("n", "root", "m")).alias("top")).where("roots > 1")
+    blocks = lambda n, m: F.ceil(F.greatest(n / BLOCK, m / BLOCK_SHINGLES)).cast("int")
+    parts = parts.select("region", F.col("top.root").alias("top"), blocks(F.col("top.n"), F.col("top.m")).alias("tops"), blocks(F.col("n") - F.col("top.n"), F.col("m") - F.col("top.m")).alias("others"))
     some = lambda n: F.sequence(F.lit(0), n - 1)
     job = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
     of = lambda n: F.pmod(F.xxhash64("c"), n).cast("int")
@@ -178,52 +170,79 @@ def unconnected(active: DataFrame, classes: DataFrame, roots: DataFrame, percent
     low = F.transform(F.sequence(of(others), others - 1), lambda j: job(of(others), j, 0))
     high = F.transform(F.filter(some(others), lambda i: i < of(others)), lambda i: job(i, of(others), 1))
     dealt = dense.join(parts, "region").withColumn("job", F.explode(F.when(F.col("root") == F.col("top"), top).otherwise(F.concat(with_top, low, high))))
-    dealt = dealt.select("region", "tree", "c", "root", "job.*").join(classes.select("c", "n_shingles", "digits"), "c")
-
-    def meet(tree, one, two):
-        """Pairs of rows of one and two (c, root, n, digits), or of one with itself."""
-        (c, root, n, digits), (d, other, m, marks) = one, two or one
-        step = max(1, CHUNK * 8 // max(1, len(d)))
-        for at in range(0, len(c), step):
-            k, x = c[at : at + step], slice(at, at + step)
-            ok = (root[x, None] != other[None]) & (100 * np.minimum(n[x, None], m[None]) >= percent * np.maximum(n[x, None], m[None]))
-            if two is None:
-                ok &= k[:, None] < d[None]
-            i, j = np.nonzero(ok)
-            i += at
-            for part in range(0, len(i), CHUNK):
-                a, b = i[part : part + CHUNK], j[part : part + CHUNK]
-                same = digits[a] == marks[b]
-                agree = same.sum(axis=1)
-                likely = np.flatnonzero(agree >= LEAST)
-                likely = likely[same[likely].reshape(len(likely), TREES, DEPTH).all(axis=2).argmax(axis=1) == tree]
-                yield c[a[likely]], d[b[likely]], agree[likely].astype(np.int32)
+    return dealt.select("region", "tree", "job.*", "c", "root")
+
+
+def merging(one, two, tree: int, percent: int = PERCENT):
+    """(a, b) of pairs of rows of one and two, or of one with itself, that are similar and join different components; rows are lists c, root, digits, members.
+
+    Pairs whose first common tree is another are left to it. Every pair is compared, or its ends are connected by then.
+    """
+    c, root, digits, members = (x + y for x, y in zip(one, two)) if two else one
+    own, c = len(one[0]), np.array(c, np.int64)
+    label = np.unique(np.array(root, np.int64), return_inverse=True)[1]
+    digits = np.frombuffer(b"".join(digits), ">u2").reshape(-1, SIZE).astype(np.uint16)
+    n = np.fromiter((len(m) >> 3 for m in members), np.int64, len(members))
+    start = np.cumsum(n) - n
+    values, ids = np.unique(np.frombuffer(b"".join(members), np.uint64), return_inverse=True)
+    mine = np.zeros(len(values), bool)
+
+    def similar(i, j):
+        """Which rows j are similar to row i, whose shingles are marked."""
+        at = np.arange(n[j].sum()) - np.repeat(np.cumsum(n[j]) - n[j] - start[j], n[j])
+        same = np.add.reduceat(mine[ids[at]], np.cumsum(n[j]) - n[j], dtype=np.int64)
+        return 100 * same >= percent * (n[i] + n[j] - same)
+
+    for i in range(own):
+        j = np.arange(own if two else i + 1, len(c))
+        j = j[(label[j] != label[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+        same = digits[j] == digits[i]
+        agree = same.sum(axis=1)
+        likely = np.flatnonzero(agree >= LEAST)
+        likely = likely[same[likely].reshape(len(likely), TREES, DEPTH).all(axis=2).argmax(axis=1) == tree]
+        j = j[likely[np.argsort(-agree[likely], kind="stable")]]
+        if not len(j):
+            continue
+        mine[ids[start[i] : start[i] + n[i]]] = True
+        # The most alike first: what they connect need not be compared.
+        for part in (j[:8], j[8:]):
+            part = part[label[part] != label[i]]
+            for k in part[similar(i, part)].tolist() if len(part) else ():
+                if label[k] != label[i]:
+                    yield c[i], c[k]
+                    label[label == label[k]] = label[i]
+        mine[ids[start[i] : start[i] + n[i]]] = False
+
+
+def unconnected(docs: DataFrame, active: DataFrame, classes: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame | None:
+    """a, b: links between components among the classes of dense regions, found by comparing all pairs there that are not connected; None if all are."""
+    jobs = written(_jobs(active, classes, roots), "jobs")
+    if jobs.isEmpty():
+        return None
+    sets = _sets(docs, classes, jobs.select("c"))
+    dealt = jobs.join(classes.select("c", "digits"), "c").join(sets, "c")
 
     def scan(batches):
         import pyarrow as pa
 
-        def out(key, sides):
-            own = [tuple(np.array(x, np.int64) for x in s[:3]) + (np.frombuffer(b"".join(s[3]), ">u2").reshape(-1, SIZE),) for s in sides]
-            itself = key[2] == key[3]
-            if len(own[0][0]) and (itself or len(own[1][0])):
-                for a, b, agree in meet(key[1], own[0], None if itself else own[1]):
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(agree)], ["leaf", "hub", "agree"])
+        def out():
+            found = list(merging(sides[0], None if key[2] == key[3] else sides[1], key[1], percent)) if sides[0][0] else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["a", "b"])
 
         key, sides = None, None
         for batch in batches:
-            for region, tree, i, j, side, *row in zip(*(batch.column(k).to_pylist() for k in ("region", "tree", "i", "j", "side", "c", "root", "n_shingles", "digits"))):
+            for region, tree, i, j, side, *row in zip(*(batch.column(k).to_pylist() for k in ("region", "tree", "i", "j", "side", "c", "root", "digits", "members"))):
                 if key != (region, tree, i, j):
                     if key:
-                        yield from out(key, sides)
+                        yield out()
                     key, sides = (region, tree, i, j), [[[] for _ in range(4)] for _ in range(2)]
                 for values, x in zip(sides[side], row):
                     values.append(x)
         if key:
-            yield from out(key, sides)
+            yield out()
 
     by = ["region", "tree", "i", "j"]
-    return written(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "leaf long, hub long, agree int"), "unconnected")
+    return written(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "a long, b long"), "unconnected")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -240,7 +259,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
         for batch in batches:
             a, b = [], []
             for hub, salt, leaf, members in zip(*(batch.column(k).to_pylist() for k in ("hub", "salt", "leaf", "members"))):
-                s = _long(members)
+                s = np.frombuffer(members, np.uint64)
                 if leaf is None:
                     key, own = (hub, salt), s
                 elif key == (hub, salt):
@@ -270,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     left, right = (weight.select(F.col("c").alias(k), F.col("w").alias(w)) for k, w in (("a", "wa"), ("b", "wb")))
     up = (F.col("wa") > F.col("wb")) | ((F.col("wa") == F.col("wb")) & (F.col("a") < F.col("b")))
     pairs = written(pairs.join(left, "a").join(right, "b").select(F.when(up, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.when(up, F.col("a")).otherwise(F.col("b")).alias("hub"), "agree", F.greatest("wa", "wb").alias("w")), "pairs")
-    sets = _sets(docs, classes, pairs)
+    sets = _sets(docs, classes, pairs.select(F.explode(F.array("leaf", "hub")).alias("c")))
     # A class's best candidate: the most agreement in steps of eight, then the hub with the most company.
     best = pairs.groupBy("leaf").agg(F.max(F.struct(F.floor(F.col("agree") / 8).alias("step"), "w", "hub"))["hub"].alias("hub"))
     links = verified(best, sets)
@@ -278,15 +297,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = verified(written(_apart(pairs.join(best, ["leaf", "hub"], "left_anti"), roots), "apart"), sets)
     links = links.union(more)
     roots = components(links)
-    rest = unconnected(active, classes, roots)
-    if not rest.isEmpty():
-        sets = _sets(docs, classes, rest)
-        # The most alike are nearly all similar, and connect the ends of many others.
-        for least, most in ((ALIKE, SIZE + 1), (LEAST, ALIKE)):
-            more = verified(written(_apart(rest.where(F.col("agree").between(least, most - 1)), roots), "apart"), sets)
-            if not more.isEmpty():
-                links = links.union(more)
-                roots = components(links)
+    if (more := unconnected(docs, active, classes, roots)) is not None:
+        roots = components(links.union(more))
     named = classes.select("digest", "c", F.col("first.doc_id").alias("doc")).join(roots, F.col("c") == F.col("node"), "left")
     named = named.select("digest", "doc", F.coalesce("root", "c").alias("root"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -295,22 +307,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "mark", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """c, members for the classes in pairs, from their first documents' texts."""
-    wanted = pairs.select(F.explode(F.array("leaf", "hub")).alias("c")).distinct()
-    wanted = classes.join(wanted, "c").select("c", "first.doc_id", "first.mark")
-    texts = docs.select("doc_id", F.xxhash64(utf8()).alias("mark"), utf8().alias("text")).join(wanted, ["doc_id", "mark"]).select("c", "text")
-    made = map_arrow(texts, lambda batch: [{"c": batch.column("c"), "members": [_short(shingle_set(t)) for t in batch.column("text").to_pylist()]}], "c long, members binary")
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """c, members for the classes wanted (c), from their first documents' texts, which a scan knows by a bitmap of fixed size."""
+    wanted = written(classes.join(wanted.distinct(), "c", "left_semi").select("c", "first.doc_id", "first.mark"), "wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "mark"))
+
+    def work(batch):
+        import pyarrow as pa
+
+        hit = pa.array(np.flatnonzero(is_marked(shared.value, batch.column("mark").to_numpy())))
+        yield {k: batch.column(k).take(hit) for k in ("doc_id", "mark")} | {"members": [shingle_set(t).tobytes() for t in batch.column("text").take(hit).to_pylist()]}
+
+    rows = docs.select("doc_id", F.xxhash64(utf8()).alias("mark"), utf8().alias("text"))
+    made = map_arrow(rows, work, f"doc_id {dict(docs.dtypes)['doc_id']}, mark long, members binary").join(wanted, ["doc_id", "mark"])
     # Rows that repeat a document give its set once.
-    return written(made.dropDuplicates(["c"]), "sets")
+    return written(made.select("c", "members").dropDuplicates(["c"]), "sets")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are first in their component, with docs' columns; rows that repeat both id and text are one document to it and stay or go together."""
+    """The rows of docs that are first in their component, with docs' columns, whatever their names; rows that repeat both id and text are one document to it and stay or go together."""
     verdict = near_duplicates(docs.select("doc_id", "text")).select("doc_id", "mark", "kept").where("kept").distinct()
-    marked = docs.withColumn("_mark", F.xxhash64(utf8()))
-    same = marked["doc_id"].eqNullSafe(verdict["doc_id"]) & (marked["_mark"] == verdict["mark"])
-    return marked.join(verdict, same, "left_semi").drop("_mark")
+    # The row travels as one struct, so that no column's name can clash.
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row", F.xxhash64(utf8("row.text")).alias("mark"))
+    same = whole["row.doc_id"].eqNullSafe(verdict["doc_id"]) & (whole["mark"] == verdict["mark"])
+    return whole.join(verdict, same, "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
