@@ -25,14 +25,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from confluo.llm.common import documents, fresh_path, small_batches, utf8
+from confluo.llm.common import documents, fresh_path, small_batches, span_hashes, utf8, word_spans
 from confluo.llm.token_count import tokenizer
 
 END_ID, SHARD_IDS = 1, 4_000_000
-CACHE = 1_200_000
+CACHE = 2_000_000
 #: The mark of a pre-token's last id in this vocabulary.
 WORD_END = "</w>"
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)[.,;:!?#*$%&|]*")
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
 MAGIC = b"WMX1"
 
 
@@ -43,11 +43,11 @@ def pack(ids: np.ndarray) -> bytes:
     ids = ids.astype(np.uint16) if bits <= 16 else ids
     zeros, planes, press = [], [], zstandard.ZstdCompressor(level=1)
     for level in range(bits - 1, -1, -1):
-        one = (ids >> level) & 1 != 0
+        one = (ids & ids.dtype.type(1 << level)).astype(bool)
         planes.append(press.compress(np.packbits(one).tobytes()))
-        low = ids[~one]
+        low = ids.compress(~one)
         zeros.append(len(low))
-        ids = np.concatenate([low, ids[one]])
+        ids = np.concatenate([low, ids.compress(one)])
     head = struct.pack(f"<4sIQ{bits}Q{bits}Q", MAGIC, bits, len(ids), *zeros, *map(len, planes))
     return head + b"".join(planes)
 
@@ -119,14 +119,72 @@ class WaveletMatrix:
         for level in range(self.bits - 1, -1, -1):
             one = np.unpackbits(self.packed[level], count=self.n).view(bool)
             back = np.empty_like(out)
-            back[~one] = out[: self.zeros[level]]
-            back[one] = out[self.zeros[level] :] | out.dtype.type(1 << (self.bits - 1 - level))
+            back[np.flatnonzero(~one)] = out[: self.zeros[level]]
+            back[np.flatnonzero(one)] = out[self.zeros[level] :] | out.dtype.type(1 << (self.bits - 1 - level))
             out = back
         return out
 
 
+class Table:
+    """64-bit hashes to row numbers: open addressing in arrays, all lookups and insertions at once."""
+
+    def __init__(self, bits: int = 16):
+        self.clear(bits)
+
+    def clear(self, bits: int = 16) -> None:
+        self.n, self.keys, self.rows = 0, np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash, or -1."""
+        mask = np.uint64(len(self.keys) - 1)
+        at = hashes & mask
+        out = np.full(len(hashes), -1, np.int32)
+        left = np.arange(len(hashes))
+        while len(left):
+            slot = at[left]
+            key = self.keys[slot]
+            hit = key == hashes[left]
+            out[left[hit]] = self.rows[slot[hit]]
+            left = left[~hit & (key != 0)]
+            at[left] = at[left] + np.uint64(1) & mask
+        return out
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """New rows, in order, for distinct hashes that are not there yet."""
+        rows = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
+        self.n += len(hashes)
+        if 2 * self.n > len(self.keys):
+            old = self.keys != 0
+            keys, known, bits = self.keys[old], self.rows[old], max(16, (2 * self.n).bit_length())
+            self.keys, self.rows = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+            self._put(keys, known)
+        self._put(hashes, rows)
+        return rows
+
+    def _put(self, hashes: np.ndarray, rows: np.ndarray) -> None:
+        mask = np.uint64(len(self.keys) - 1)
+        at, left = hashes & mask, np.arange(len(hashes))
+        while len(left):
+            free = left[self.keys[at[left]] == 0]
+            self.keys[at[free]] = hashes[free]  # one of those that want a slot gets it
+            won = free[self.keys[at[free]] == hashes[free]]
+            self.rows[at[won]] = rows[won]
+            left = left[self.keys[at[left]] != hashes[left]]
+            at[left] = at[left] + np.uint64(1) & mask
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start to start + size - 1 of each run, joined."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
 class WordEncoder:
-    """Ids of whole texts from the ids of their words. Sound for a tokenizer whose pre-tokens never hold ASCII white space, which it drops."""
+    """Ids of whole texts from the ids of their words. Sound for a tokenizer whose pre-tokens never hold ASCII white space, which it drops.
+
+    Words are known by 64-bit hashes. A word of letters with marks behind it has the ids of its letters in lower case and
+    those of the marks (`_PLAIN`), so the library gets each such part once.
+    """
 
     def __init__(self, path: str, limit: int = CACHE):
         self.tok, self.limit = tokenizer(path), limit
@@ -134,47 +192,99 @@ class WordEncoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.kind = np.uint16 if len(self.last) <= 1 << 16 else np.uint32
-        self.ids_of: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.parts, self.held = Table(), Table(), 0
+        self.ids = np.zeros(1 << 16, self.kind)
+        # Start and size in ids of each word, and of each part.
+        self.word_at, self.part_at = np.zeros((2, 1 << 12), np.int64), np.zeros((2, 1 << 12), np.int64)
+
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray, of: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The table of starts and sizes with the entries rows, whose ids are kept."""
+        if self.held + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.held], np.zeros(max(len(self.ids), 2 * len(ids)), self.kind)])
+        if len(rows) and rows[-1] >= of.shape[1]:
+            of = np.concatenate([of, np.zeros((2, max(of.shape[1], 2 * len(rows))), np.int64)], axis=1)
+        self.ids[self.held : self.held + len(ids)] = ids
+        of[0, rows], of[1, rows] = self.held + np.cumsum(sizes) - sizes, sizes
+        self.held += len(ids)
+        return of
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, each encoded alone, and how many each has."""
         lists = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
         return np.fromiter(itertools.chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
 
-    def _add(self, words: list[bytes]) -> None:
-        """Learn the ids of new words. Words of letters and a trailing mark go to the library many at a time: each has as many pre-tokens as parts, and a pre-token ends where an id that ends a word stands."""
-        plain, parts, other = [], [], []
-        for w in map(bytes.decode, words):
+    def _encoded_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts of one pre-token each: many at a time, as each ends where an id that ends a word stands."""
+        runs = self.tok.encode_batch_fast([" ".join(parts[i : i + 128]) for i in range(0, len(parts), 128)], add_special_tokens=False)
+        ids = np.fromiter(itertools.chain.from_iterable([e.ids for e in runs]), np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        # Else it is not the kind of tokenizer whose last ids are marked.
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(parts) else self._encoded(parts)
+
+    def _part_rows(self, parts: list[str]) -> np.ndarray:
+        """Rows of parts, the new ones learnt."""
+        raw = [p.encode() for p in parts]
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        hashes = span_hashes(b"".join(raw), np.concatenate([[0], ends[:-1]]), ends)
+        rows = self.parts.find(hashes)
+        missing = np.flatnonzero(rows < 0)
+        new, first, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
+        if len(new):
+            ids, sizes = self._encoded_parts([parts[i] for i in missing[first].tolist()])
+            added = self.parts.add(new)
+            self.part_at = self._keep(ids, sizes, self.part_at, added)
+            rows[missing] = added[back]
+        return rows
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        """Learn the ids of new words."""
+        letters, marks, plain, other, odd = [], [], [], [], []
+        for i, w in enumerate(map(bytes.decode, words)):
             if m := _PLAIN.fullmatch(w):
-                plain.append(w)
-                parts.append(1 + (m.end(1) < len(w)))
+                letters.append(m[1].lower())
+                marks.append(m[2])
+                plain.append(i)
             else:
                 other.append(w)
-        ids, sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+                odd.append(i)
         if plain:
-            runs = self.tok.encode_batch_fast([" ".join(plain[i : i + 64]) for i in range(0, len(plain), 64)], add_special_tokens=False)
-            ids = np.fromiter(itertools.chain.from_iterable([e.ids for e in runs]), np.uint32)
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == sum(parts):
-                sizes = np.diff(np.concatenate([[0], ends[np.cumsum(parts) - 1]]))
-            else:  # not the kind of tokenizer whose last ids are marked
-                ids, sizes = self._encoded(plain)
-        more, more_sizes = self._encoded(other)
-        ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
-        raw, ends = ids.astype(self.kind).tobytes(), np.cumsum(sizes) * self.kind().itemsize
-        ends = ends.tolist()
-        self.ids_of.update(zip(map(str.encode, [*plain, *other]), map(raw.__getitem__, map(slice, [0, *ends], ends))))
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
-        split = [t.split() for t in texts]
-        if new := set(itertools.chain.from_iterable(split)).difference(self.ids_of):
-            if len(self.ids_of) + len(new) > self.limit and self.ids_of:
-                self.ids_of.clear()
-                new = set(itertools.chain.from_iterable(split))
-            self._add(list(new))
-        one = self.ids_of.__getitem__
-        return [np.frombuffer(b"".join(map(one, words)), self.kind) for words in split]
+            start, sizes = np.zeros((2, len(plain), 2), np.int64)
+            rows = self._part_rows(letters)
+            start[:, 0], sizes[:, 0] = self.part_at[:, rows]
+            behind = np.flatnonzero(np.fromiter(map(bool, marks), bool, len(marks)))
+            if len(behind):
+                rows = self._part_rows([marks[i] for i in behind.tolist()])
+                start[behind, 1], sizes[behind, 1] = self.part_at[:, rows]
+            ids = self.ids[_runs(start.ravel(), sizes.ravel())]
+            self.word_at = self._keep(ids, sizes.sum(axis=1), self.word_at, self.words.add(hashes[plain]))
+        if other:
+            ids, sizes = self._encoded(other)
+            self.word_at = self._keep(ids, sizes, self.word_at, self.words.add(hashes[odd]))
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, joined, and how many each has."""
+        raw = b"\n".join(texts)
+        start, end = word_spans(np.frombuffer(raw, np.uint8))
+        hashes = np.maximum(span_hashes(raw, start, end), np.uint64(1))  # 0 marks a free slot
+        rows = self.words.find(hashes)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            if self.words.n + len(new) > self.limit and self.words.n:
+                self._forget()
+                missing = np.arange(len(hashes))
+                new, first = np.unique(hashes, return_index=True)
+            at = missing[first]
+            self._learn([raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())], new)
+            rows[missing] = self.words.find(hashes[missing])
+        sizes = self.word_at[1, rows]
+        ids = self.ids[_runs(self.word_at[0, rows], sizes)]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+        return ids, np.diff(before[ends], prepend=0)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -194,22 +304,28 @@ def write_shards(docs: DataFrame, path: str, out: str, end_id: int = END_ID, sha
         names, sizes, chunks, held = [], [], [], 0
 
         def closed():
-            ids = np.concatenate(chunks)
-            cols = [pa.array([names], pa.list_(names_type)), pa.array([sizes], pa.list_(pa.int32())), pa.array([len(ids)], pa.int64()), pa.array([part], pa.int32()), pa.array([row], pa.int64()), pa.array([pack(ids)], pa.binary())]
+            ids, all_names, all_sizes = np.concatenate(chunks), pa.concat_arrays(names), np.concatenate(sizes).astype(np.int32)
+            one = pa.array([0, len(all_names)], pa.int32())
+            cols = [pa.ListArray.from_arrays(one, all_names), pa.ListArray.from_arrays(one, pa.array(all_sizes)), pa.array([len(ids)], pa.int64()), pa.array([part], pa.int32()), pa.array([row], pa.int64()), pa.array([pack(ids)], pa.binary())]
             return pa.RecordBatch.from_arrays(cols, ["doc_ids", "sizes", "n_ids", "first_part", "first_row", "payload"])
 
         for batch in batches:
-            names_type = batch.schema.field("doc_id").type
-            end = np.array([end_id], encoder.kind)
-            for name, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
-                chunks += [ids, end]
-                names.append(name)
-                sizes.append(len(ids) + 1)
-                held += len(ids) + 1
+            ids, n = encoder.encode(batch.column("text").to_pylist())
+            ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+            ends, a = np.cumsum(n), 0
+            while a < len(n):
+                # A shard takes whole documents until it holds shard_ids ids.
+                begin = int(ends[a] - n[a])
+                b = min(len(n), a + 1 + int(np.searchsorted(ends[a:] - begin, shard_ids - held)))
+                chunks.append(ids[begin : ends[b - 1]])
+                names.append(batch.column("doc_id").slice(a, b - a))
+                sizes.append(n[a:b])
+                held += len(chunks[-1])
                 if held >= shard_ids:
                     yield closed()
-                    row += len(names)
+                    row += sum(map(len, sizes))
                     names, sizes, chunks, held = [], [], [], 0
+                a = b
         if names:
             yield closed()
 
@@ -228,12 +344,10 @@ def read_shards(spark: SparkSession, out: str) -> DataFrame:
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = WaveletMatrix(batch.column("payload")[i].as_py()).ids()
-                sizes = np.array(batch.column("sizes")[i].as_py(), np.int64)
-                ends = np.cumsum(sizes)
-                crcs = [zlib.crc32(ids[e - s : e].astype("<u4").tobytes()) for s, e in zip(sizes, ends)]
-                n = len(sizes)
-                names = pa.array(batch.column("doc_ids")[i].as_py(), batch.schema.field("doc_ids").type.value_type)
+                raw = memoryview(WaveletMatrix(batch.column("payload")[i].as_py()).ids().astype("<u4")).cast("B")
+                sizes, names = batch.column("sizes")[i].values.to_numpy().astype(np.int64), batch.column("doc_ids")[i].values
+                ends, n = np.cumsum(sizes), len(sizes)
+                crcs = [zlib.crc32(raw[a:b]) for a, b in zip((4 * (ends - sizes)).tolist(), (4 * ends).tolist())]
                 yield pa.RecordBatch.from_arrays([names, pa.array(ends - sizes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(np.full(n, batch.column("first_part")[i].as_py()), pa.int32()), pa.array(np.full(n, batch.column("first_row")[i].as_py()), pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32", "first_part", "first_row"])
 
     # A shard's blob is a few MB: one is handed over at a time.
