@@ -1,17 +1,18 @@
 """Benchmark passages in documents, by the q-gram lemma and banded alignment.
 
 Texts are compared in lower case with each run of white space as one space. An item of m characters
-occurs in a document if some stretch of it lies within floor(m * EDIT_PERCENT / 100) character edits
-(fewer, where the lemma would be void). By the lemma such a stretch shares at least m + 1 - q (e + 1) of
+occurs in a document if some stretch of it lies within e = floor(m * EDIT_PERCENT / 100) character edits.
+By the lemma such a stretch shares at least m + 1 - q (e + 1) of
 the item's q-grams on e + 1 neighbouring diagonals, so with bands of 2 (e + 1) diagonals that overlap by
 half, one band holds them all. Characters are folded to a byte each and a q-gram is one 64-bit word: a
 bit table finds the places of a batch that may hold an item's q-gram, a sorted list confirms them, hits
 are counted by item and band, and bands that meet the bound are verified by alignment within the band.
-Items shorter than q are found as exact substrings.
+Items for which the bound would be void at q have grams of m // (e + 1) characters.
 
 The items are broadcast if they hold at most BLOCK_BYTES bytes; a larger benchmark is taken in blocks of
 about that size, each against all documents. Null and blank items match nothing; repeated items and
 items with the same id count alike. Null texts have no regions. Nulls in other columns pass through.
+Texts of any length are searched STEP characters at a time, whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from confluo.llm.common import documents, map_arrow
 
-Q, EDIT_PERCENT, BLOCK_BYTES = 8, 10, 8 << 20
+Q, EDIT_PERCENT, BLOCK_BYTES, STEP = 8, 10, 8 << 20, 1 << 22
 _BITS = 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,58 +48,40 @@ def grams(raw: bytes, q: int) -> np.ndarray:
     return words & np.uint64((1 << (8 * q)) - 1)
 
 
-class Benchmark:
-    """Items made ready for search."""
+class Grams:
+    """The q-grams of some items, ready for search."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, edit_percent: int = EDIT_PERCENT):
-        if not 1 <= q <= 8:
-            raise ValueError("q must be 1 to 8")
-        self.q, self.ids, self.texts = q, [], []
-        for i, t in items:
-            if t and (t := normal(t)):
-                self.ids.append(i)
-                self.texts.append(t)
-        m = np.array([len(t) for t in self.texts], np.int64)
-        # The bound must be one shared q-gram or more.
-        self.edits = np.maximum(0, np.minimum(m * edit_percent // 100, m // q - 1))
-        self.need = np.where(m >= q, m + 1 - q * (self.edits + 1), 0)
-        self.m, self.short = m, [j for j in range(len(m)) if m[j] < q]
-        gram = [grams(folded(t), q)[: max(0, len(t) - q + 1)] for t in self.texts]
-        item = np.repeat(np.arange(len(gram)), [len(g) for g in gram])
-        at = np.concatenate([np.arange(len(g)) for g in gram]) if gram else np.zeros(0, np.int64)
-        gram = np.concatenate(gram) if gram else np.zeros(0, np.uint64)
+    def __init__(self, q: int, items: np.ndarray, texts: list[str], edits: np.ndarray):
+        self.q, self.edits = q, edits
+        gram = [grams(folded(texts[j]), q)[: len(texts[j]) - q + 1] for j in items.tolist()]
+        self.need = np.zeros(len(edits), np.int64)
+        self.need[items] = [len(g) - q * e for g, e in zip(gram, edits[items].tolist())]
+        item = np.repeat(items, [len(g) for g in gram])
+        at = np.concatenate([np.arange(len(g)) for g in gram])
+        gram = np.concatenate(gram)
         order = np.argsort(gram, kind="stable")
         self.item, self.at = item[order], at[order]
         self.keys, self.first, self.many = np.unique(gram[order], return_index=True, return_counts=True)
         self.table = np.zeros(1 << _BITS, bool)
         self.table[self.keys * _ODD >> np.uint64(64 - _BITS)] = True
-        self.gap = int((m + 2 * self.edits).max(initial=0)) + 4 * int(self.edits.max(initial=0)) + 16
-
-    def regions(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-        """For each text: (item's place, first, end, edits) of the best stretch of every item that occurs in it, in the normal form."""
-        texts = [normal(t) for t in texts]
-        out: list[dict] = [{} for _ in texts]
-        starts, parts, at = [], [], 0
-        for t in texts:
-            starts.append(at)
-            parts.append(folded(t) + bytes(self.gap))
-            at += len(t) + self.gap
-        words = grams(b"".join(parts), self.q)
-        place = np.flatnonzero(self.table[words * _ODD >> np.uint64(64 - _BITS)])
-        if len(self.keys):
+        #: Diagonals start below zero by at most an item's length and edits: this much makes them positive.
+        self.shift = int(max(len(t) for t in texts) + 2 * edits.max()) + 2
+
+    def hits(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The places in raw where a q-gram of an item begins, and its key's number."""
+        out = []
+        for a in range(0, len(raw), STEP):
+            words = grams(raw[a : a + STEP + 8], self.q)[:STEP]
+            place = np.flatnonzero(self.table[words * _ODD >> np.uint64(64 - _BITS)])
             k = np.searchsorted(self.keys, words[place])
             k[k == len(self.keys)] = 0
             real = self.keys[k] == words[place]
-            for doc, item, band in self._bands(place[real], k[real], np.array(starts)):
-                self._verify(texts[doc], item, band, out[doc])
-        for j in self.short:
-            for i, t in enumerate(texts):
-                if (p := t.find(self.texts[j])) >= 0:
-                    out[i][j] = (j, p, p + len(self.texts[j]), 0)
-        return [sorted(x.values()) for x in out]
+            out.append((place[real] + a, k[real]))
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
 
-    def _bands(self, place: np.ndarray, key: np.ndarray, starts: np.ndarray):
+    def bands(self, raw: bytes, starts: np.ndarray):
         """(document, item, first diagonal of the band in the document) of each band with enough hits, taken in blocks of documents."""
+        place, key = self.hits(raw)
         many = self.many[key]
         cuts = np.searchsorted(np.cumsum(many), np.arange(0, int(many.sum()) + 1, 4_000_000), "left")
         doc_of = np.searchsorted(starts, place, "right") - 1
@@ -110,16 +93,47 @@ class Benchmark:
             posting = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[key[a:b]], n)
             item, doc = self.item[posting], doc_of[row]
             width = self.edits[item] + 1
-            # Diagonals start below zero by at most an item's length, within the gap before the next document.
-            band = (place[row] - starts[doc] - self.at[posting] + self.gap) // width
-            code = (doc << 44) + (item << 24) + band if len(self.m) < 1 << 20 and band.max(initial=0) < 1 << 23 else None
-            both = np.concatenate([code, code - 1]) if code is not None else np.concatenate([np.stack([doc, item, band], 1), np.stack([doc, item, band - 1], 1)])
-            found, times = np.unique(both, axis=None if code is not None else 0, return_counts=True)
-            doc, item, band = (found >> 44, found >> 24 & 0xFFFFF, found & 0xFFFFFF) if code is not None else found.T
+            band = (place[row] - starts[doc] - self.at[posting] + self.shift) // width
+            short = len(self.need) < 1 << 20 and band.max(initial=0) < 1 << 23 and doc.max(initial=0) < 1 << 19
+            code = (doc << 44) + (item << 24) + band if short else None
+            both = np.concatenate([code, code - 1]) if short else np.concatenate([np.stack([doc, item, band], 1), np.stack([doc, item, band - 1], 1)])
+            found, times = np.unique(both, axis=None if short else 0, return_counts=True)
+            doc, item, band = (found >> 44, found >> 24 & 0xFFFFF, found & 0xFFFFFF) if short else found.T
             ok = times >= self.need[item]
-            ok[ok] &= band[ok] < 1 << 23 if code is not None else True
+            if short:
+                ok &= band < 1 << 23
             for d, j, k in zip(doc[ok].tolist(), item[ok].tolist(), band[ok].tolist()):
-                yield d, j, k * (int(self.edits[j]) + 1) - self.gap
+                yield d, j, k * (int(self.edits[j]) + 1) - self.shift
+
+
+class Benchmark:
+    """Items made ready for search."""
+
+    def __init__(self, items: list[tuple[int, str]], q: int = Q, edit_percent: int = EDIT_PERCENT):
+        if not 1 <= q <= 8 or not 0 <= edit_percent < 100:
+            raise ValueError("q must be 1 to 8, edit_percent 0 to 99")
+        self.ids, self.texts = [], []
+        for i, t in items:
+            if t and (t := normal(t)):
+                self.ids.append(i)
+                self.texts.append(t)
+        self.m = np.array([len(t) for t in self.texts], np.int64)
+        self.edits = self.m * edit_percent // 100
+        # The lemma must ask for one shared q-gram or more: short items have shorter grams.
+        own = np.minimum(q, self.m // (self.edits + 1))
+        self.groups = [Grams(k, np.flatnonzero(own == k), self.texts, self.edits) for k in np.unique(own).tolist()]
+
+    def regions(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """For each text: (item's place, first, end, edits) of the best stretch of every item that occurs in it, in the normal form."""
+        texts = [normal(t) for t in texts]
+        out: list[dict] = [{} for _ in texts]
+        parts = [folded(t) + bytes(8) for t in texts]  # a gram of two texts holds zeros between
+        starts = np.cumsum([0, *map(len, parts)])[:-1]
+        raw = b"".join(parts)
+        for group in self.groups:
+            for doc, item, band in group.bands(raw, starts):
+                self._verify(texts[doc], item, band, out[doc])
+        return [sorted(x.values()) for x in out]
 
     def _verify(self, text: str, j: int, diagonal: int, out: dict) -> None:
         if out.get(j, (0, 0, 0, 1))[3] == 0:
@@ -145,19 +159,19 @@ def banded(item: str, text: str, low: int, high: int, most: int) -> tuple[int, i
     body = _codes(text[max(0, low) : max(0, low + size)])
     b = np.full(left + len(body) + size, 0xFFFFFFFF, np.uint32)
     b[left : left + len(body)] = body
-    steps, far = np.arange(width), 1 << 20
+    steps, far, unit = np.arange(width), 1 << 30, 1 << width.bit_length()
     cost, origin = np.zeros(width, np.int64), np.arange(width)
     outside = (steps + low < 0) | (steps + low > len(text))
     cost[outside] = far
     for i, c in enumerate(a.tolist()):
-        # Cost and start travel together: among equal costs the later start wins.
-        keep = (cost + (b[i : i + width] != c)) * 4096 - origin
-        skip = np.full(width, far * 4096)
-        skip[:-1] = (cost[1:] + 1) * 4096 - origin[1:]
-        best = np.minimum(keep, skip) - steps * 4096
-        best = np.minimum.accumulate(best) + steps * 4096
-        cost = -(-best // 4096)
-        origin = cost * 4096 - best
+        # Cost and start, below unit, travel together: among equal costs the later start wins.
+        keep = (cost + (b[i : i + width] != c)) * unit - origin
+        skip = np.full(width, far * unit)
+        skip[:-1] = (cost[1:] + 1) * unit - origin[1:]
+        best = np.minimum(keep, skip) - steps * unit
+        best = np.minimum.accumulate(best) + steps * unit
+        cost = -(-best // unit)
+        origin = cost * unit - best
         if cost.min() > most:
             return None
     ends = steps + low + len(a)
