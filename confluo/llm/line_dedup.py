@@ -111,12 +111,23 @@ class Lines:
         return words, np.flatnonzero(mine)[line], place
 
 
-def first_of(sets: np.ndarray, *place: np.ndarray) -> np.ndarray:
-    """The place of each set's first line in the order of (doc, number and whatever follows); rows come in any order."""
-    order = np.lexsort((*place[::-1], sets))
+def first_of(sets: np.ndarray, doc: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The place of each set's first line in the order of (doc, number); rows come in any order."""
+    order = np.lexsort((number, doc, sets))
     return order[np.unique(sets[order], return_index=True)[1]]
 
 
+def not_first(x: np.ndarray) -> np.ndarray:
+    """Which of some lines (LINE) have an equal set before them; lines of repeated rows share their place."""
+    order = np.lexsort((x["mark"], x["number"], x["doc"], x["set"]))
+    x = x[order]
+    head = np.flatnonzero(np.diff(x["set"], prepend=x["set"][:1] - 1) != 0)
+    first = x[np.repeat(head, np.diff(head, append=len(x)))]
+    out = np.empty(len(x), bool)
+    out[order] = (x["doc"] != first["doc"]) | (x["number"] != first["number"]) | (x["mark"] != first["mark"])
+    return out
+
+
 def probing(words: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int):
     """word, line, place of the rarest words of lines given as flat words and sizes: by their bucket's count, then by hash."""
     line = np.repeat(np.arange(len(sizes)), sizes)
@@ -157,8 +168,7 @@ def scanned(rows: DataFrame, flush: int) -> tuple[DataFrame, np.ndarray, int]:
         def kept():
             """The lines held: all but the first of each set go, and are marked."""
             x = np.concatenate(lines)
-            x["late"] = True
-            x["late"][first_of(x["set"], x["doc"], x["number"], x["mark"])] = False
+            x["late"] = not_first(x)
             return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.array([x.tobytes()], pa.binary())], schema=form)
 
         for batch in batches:
@@ -221,11 +231,10 @@ def _gone(lines: DataFrame, late: DataFrame, buckets: int) -> DataFrame:
 
         def finish():
             x = np.concatenate([np.frombuffer(b, LINE) for b in blocks]) if blocks else np.zeros(0, LINE)
-            stays = np.zeros(len(x), bool)
             own = np.flatnonzero(~x["late"])
-            stays[own[first_of(*(x[k][own] for k in ("set", "doc", "number", "mark")))]] = True
-            stays &= ~np.isin(x["set"], np.array(sets, np.int64))
-            x = x[~stays]
+            gone = x["late"] | np.isin(x["set"], np.array(sets, np.int64))
+            gone[own[not_first(x[own])]] = True
+            x = x[gone]
             return pa.RecordBatch.from_arrays([pa.array(x[k]) for k in ("doc", "mark", "number")], ["doc", "mark", "number"])
 
         last, blocks, sets = None, [], []
