@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,24 +10,55 @@ from pyspark.sql.types import IntegerType
 
 from confluo.functions.text import tokens
 
-
-def common_subsequence(a: str, b: str) -> int:
-    """The length of the longest common subsequence, a machine word of rows at a time."""
-    if not a or not b:
-        return 0
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | 1 << i
-    full = row = (1 << len(a)) - 1
-    for ch in b:
-        hit = row & where.get(ch, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+CELLS = 1 << 22
+
+
+def common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
+    """The length of the longest common subsequence of each pair of strings: bit rows in 64-bit words, a step for each character of b, all pairs at once."""
+    out = np.zeros(len(a), np.int32)
+    size = np.fromiter((len(x) * len(y) for x, y in zip(a, b)), np.int64, len(a))
+    # Pairs of like sizes share a block, whose match table has CELLS cells at most, or one pair.
+    order = np.argsort(size, kind="stable")
+    order = order[size[order] > 0].tolist()
+    while order:
+        rows, wide, high = [], 0, 0
+        while order:
+            w, h = max(wide, len(a[order[-1]])), max(high, len(b[order[-1]]))
+            if rows and (len(rows) + 1) * (w + 64) * h > CELLS:
+                break
+            wide, high = w, h
+            rows.append(order.pop())
+        out[rows] = _block([a[i] for i in rows], [b[i] for i in rows], -(-wide // 64), high)
+    return out
+
+
+def _characters(texts: list[str], width: int, fill: int) -> np.ndarray:
+    out = np.full((len(texts), width), fill, np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out
+
+
+def _block(a: list[str], b: list[str], words: int, high: int) -> np.ndarray:
+    # Fillers differ, so what is beyond a string's end matches nothing.
+    x, y = _characters(a, 64 * words, 0xFFFFFFFF), _characters(b, high, 0xFFFFFFFE)
+    row, one = [np.full(len(a), 0xFFFFFFFFFFFFFFFF, np.uint64) for _ in range(words)], np.uint64(1)
+    for j in range(high):
+        hits = np.packbits(x == y[:, j, None], axis=1, bitorder="little").view("<u8")
+        carry = np.zeros(len(a), np.uint64)
+        for k in range(words):
+            hit = row[k] & hits[:, k]
+            total = row[k] + hit
+            over = total < hit
+            total += carry
+            carry = (over | (total < carry)) * one
+            row[k] = total | (row[k] & ~hits[:, k])
+    return sum(np.bitwise_count(~r).astype(np.int32) for r in row)
 
 
 @F.pandas_udf(IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([common_subsequence(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
+    return pd.Series(common_subsequences(a.fillna("").tolist(), b.fillna("").tolist()))
 
 
 def _joined(a: Column) -> Column:

@@ -26,19 +26,25 @@ UNIT_WORDS = ["flat", "plot", "unit", "apt", "apartment", "suite", "ste", "room"
 #: Python's str.isspace, as a Java class.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 SYMBOLS = r"[\p{P}\p{S}\x00-\x08\x0e-\x1b\x7f]"
+#: The last letter of the Latin blocks that European texts use.
+SCAN = 0x24F
 #: Latin letters that no decomposition or letter name reduces.
-_PLAIN = {"ß": "ss", "ẞ": "ss", "æ": "ae", "Æ": "ae", "œ": "oe", "Œ": "oe", "þ": "th", "Þ": "th", "ð": "d", "Ð": "d", "ı": "i", "ĸ": "k", "ŋ": "ng", "Ŋ": "ng", "ſ": "s", "ª": "a", "º": "o", "ə": "e", "ɛ": "e", "ɔ": "o", "ĳ": "ij", "Ĳ": "ij"}
+_PLAIN = {"ß": "ss", "ẞ": "ss", "æ": "ae", "Æ": "ae", "œ": "oe", "Œ": "oe", "þ": "th", "Þ": "th", "ð": "d", "Ð": "d", "ı": "i", "ĸ": "k", "ŋ": "ng", "Ŋ": "ng", "ſ": "s", "ª": "a", "º": "o", "ĳ": "ij", "Ĳ": "ij"}
+#: The usual ASCII for U+0250 to U+02AD, in order.
+_PHONETIC = "a a a b o c d d e @ @ e e e e j g g g g u Y h h i i I l l l lZ W W m n n n o OE O F r r r r r r r R R s S j S S t t u U v ^ w y Y z z Z Z ? ? ? C @ B E G H j k L q ? ? dz dZ dz ts tS tC fN ls lz WW ]]".split()
 _LETTER = re.compile(r"LATIN (?:SMALL|CAPITAL) (?:LETTER|LIGATURE) ([A-Z]{1,2})(?: WITH .*)?$")
 
 
 @cache
 def latin_to_ascii(ch: str) -> str:
-    """A non-ASCII character in ASCII if its name says Latin, else itself: by a short list, by decomposition, or by the letter in its name."""
+    """A non-ASCII character in ASCII if its name says Latin, else itself: by short lists, by decomposition, or by the letter in its name."""
     name = unicodedata.name(ch, "")
     if "LATIN" not in name:
         return ch
     if ch in _PLAIN:
         return _PLAIN[ch]
+    if 0 <= ord(ch) - 0x250 < len(_PHONETIC):
+        return _PHONETIC[ord(ch) - 0x250]
     base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
     if base.isascii():
         return base
@@ -63,13 +69,19 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def has_non_ascii(c: Column) -> Column:
+    return F.octet_length(c) != F.char_length(c)
+
+
 def fold_latin(c: Column) -> Column:
-    return _folded(blank(c))
+    """Only text beyond ASCII leaves the JVM."""
+    c = blank(c)
+    return F.coalesce(_folded(F.when(has_non_ascii(c), c)), c)
 
 
 def collapse_acronyms(c: Column) -> Column:
     """l.l.c. as llc: dots after single letters before another such letter, white space or the end."""
-    return F.regexp_replace(c, r"\b([a-z])\.(?=[a-z]\.|\s|$)", "$1")
+    return F.regexp_replace(c, r"\b([a-z])\.(?=[a-z]\.|[\p{IsWhite_Space}\x1c-\x1f]|$)", "$1")
 
 
 def squeeze(c: Column) -> Column:
@@ -100,7 +112,7 @@ def any_of(a: Column, words: list[str]) -> Column:
 
 
 def postal_code(address: Column) -> Column:
-    """The 5-6 digits of one of the last two words of the last comma part, unless they look like a house or unit number."""
+    """The 5-6 digits (of any script) of one of the last two words of the last comma part, unless they look like a house or unit number."""
     parts = F.filter(F.transform(F.split(blank(address), ","), squeeze), lambda p: p != "")
     words = F.split(F.try_element_at(parts, F.lit(-1)), " ")
 
@@ -110,10 +122,10 @@ def postal_code(address: Column) -> Column:
         letters = F.transform(tokens, lambda w: F.lower(F.regexp_replace(w, "[^A-Za-z]", "")))
         first = F.greatest(at - 2, F.lit(1))
         near = F.concat(F.slice(letters, first, at - first), F.slice(letters, at + 1, F.lit(2)))
-        later = F.exists(F.slice(tokens, at + 1, F.size(tokens)), lambda w: w.rlike("[0-9]"))
+        later = F.exists(F.slice(tokens, at + 1, F.size(tokens)), lambda w: w.rlike(r"(?U)\d"))
         earlier = F.slice(letters, F.lit(1), at - 1)
-        ok = t.rlike(r"^\D*\d{5,6}\D*$") & ~any_of(near, STREET_WORDS) & ~later & ~any_of(earlier, UNIT_WORDS)
-        return F.when(ok, F.regexp_extract(t, r"(\d{5,6})", 1))
+        ok = t.rlike(r"(?U)^\D*\d{5,6}\D*$") & ~any_of(near, STREET_WORDS) & ~later & ~any_of(earlier, UNIT_WORDS)
+        return F.when(ok, F.regexp_extract(t, r"(?U)(\d{5,6})", 1))
 
     return F.coalesce(tested(words, 1), tested(words, 2), F.lit(""))
 
@@ -123,21 +135,30 @@ def expand_address(clean: Column) -> Column:
 
 
 @cache
-def non_latin_class() -> str:
-    """A character class of all letters and marks from 128 up whose name lacks LATIN, in ranges read from the Unicode tables."""
-    runs: list[list[int]] = []
+def non_latin_ranges() -> list[tuple[int, int]]:
+    """Letters and marks from 128 up whose name lacks LATIN, read from the Unicode tables."""
+    runs: list[tuple[int, int]] = []
     for i in range(128, 0x110000):
         ch = chr(i)
         if unicodedata.category(ch)[0] in "LM" and "LATIN" not in unicodedata.name(ch, ""):
-            if runs and runs[-1][1] == i - 1:
-                runs[-1][1] = i
-            else:
-                runs.append([i, i])
-    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs) + "]"
+            runs[-1:] = [(runs[-1][0], i)] if runs and runs[-1][1] == i - 1 else [*runs[-1:], (i, i)]
+    return runs
+
+
+def char_class(ranges) -> str:
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
+@cache
+def non_latin_pattern() -> str:
+    """One character of those ranges. There are hundreds, so a look ahead at few passes over what is plainly in none: all up to SCAN but the few ranges there."""
+    ranges = non_latin_ranges()
+    return f"(?={char_class([r for r in ranges if r[1] <= SCAN] + [(SCAN + 1, 0x10FFFF)])}){char_class(ranges)}"
 
 
 def has_non_latin(c: Column) -> Column:
-    return blank(c).rlike(non_latin_class())
+    c = blank(c)
+    return has_non_ascii(c) & c.rlike(non_latin_pattern())
 
 
 def tokens(clean: Column) -> Column:

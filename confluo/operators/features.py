@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from confluo.functions import similarity as s
+from confluo.functions.text import truthy
+from confluo.operators.order import percentiles
 
 FEATURES = ["name_token_sort_ratio", "name_token_set_ratio", "name_char_ngram_jaccard", "address_token_jaccard", "address_char_ngram_jaccard", "postal_code_match", "country_match", "legal_suffix_match", "either_is_domain", "either_has_non_latin_script"]
 PAIR = ["source1_entity_id", "candidate_entity_id"]
@@ -16,8 +18,11 @@ _FLAGS = ["name_is_domain", "has_non_latin_script"]
 def with_records(pairs: DataFrame, clean: DataFrame) -> DataFrame:
     """pairs with both records' fields as a_* and b_*; fields of unknown ids are blank. Ids carry their source, so one join a side does."""
 
+    kinds = dict(clean.dtypes)
+    flag = lambda c: truthy(F.col(c)) if kinds[c] == "string" else F.col(c)  # noqa: E731  a text file's flags are words
+
     def side(tag: str, key: str) -> DataFrame:
-        return clean.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{tag}_{c}") for c in _TEXT + _FLAGS])
+        return clean.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{tag}_{c}") for c in _TEXT], *[flag(c).alias(f"{tag}_{c}") for c in _FLAGS])
 
     out = pairs.join(side("a", PAIR[0]), PAIR[0], "left").join(side("b", PAIR[1]), PAIR[1], "left")
     fill = {f"{t}_{c}": F.coalesce(f"{t}_{c}", F.lit("")) for t in "ab" for c in _TEXT} | {f"{t}_{c}": F.coalesce(f"{t}_{c}", F.lit(False)) for t in "ab" for c in _FLAGS}
@@ -64,13 +69,14 @@ def comparable(features: DataFrame) -> DataFrame:
 
 
 def means_by_label(features: DataFrame) -> DataFrame:
+    """n and the mean of each feature by is_match; rows without a label are a group of their own."""
     return features.groupBy("is_match").agg(F.count("*").alias("n"), *[F.round(F.avg(c), 6).alias(c) for c in FEATURES if c in features.columns])
 
 
 def describe(features: DataFrame, columns: list[str]) -> DataFrame:
-    """One row a column: count, mean, std, least, quartiles, most."""
-    parts = [features.agg(F.lit(c).alias("feature"), F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev(c), 6).alias("std"), F.round(F.min(c), 6).alias("least"), *[F.round(F.percentile(c, q / 100), 6).alias(f"p{q}") for q in (25, 50, 75)], F.round(F.max(c), 6).alias("most")) for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    """One row a column: count, mean, std, least, quartiles, most; all columns in one pass, quartiles from the counts of values."""
+    long = features.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("x")).select("x.*")
+    v = F.col("value")
+    whole = long.groupBy("feature").agg(F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev(v), 6).alias("std"), F.round(F.min(v), 6).alias("least"), F.round(F.max(v), 6).alias("most"))
+    parts = percentiles(long, "feature", "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return whole.join(parts, "feature", "left").select("feature", "n", "mean", "std", "least", *[F.round(p, 6).alias(p) for p in ("p25", "p50", "p75")], "most")

@@ -49,11 +49,16 @@ def only_country(df: DataFrame, country: str) -> DataFrame:
     return df.where(F.col("country") == country)
 
 
-def first_rows(df: DataFrame, key: str = "entity_id") -> DataFrame:
-    return df.dropDuplicates([key])
+def first_rows(df: DataFrame, order: str, key: str = "entity_id") -> DataFrame:
+    """The first row of each key by an ordinal."""
+    return _one_row(df, F.min_by, order, key)
 
 
 def last_rows(df: DataFrame, order: str, key: str = "entity_id") -> DataFrame:
     """The last row of each key by an ordinal."""
+    return _one_row(df, F.max_by, order, key)
+
+
+def _one_row(df: DataFrame, pick, order: str, key: str) -> DataFrame:
     cols = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order)).alias("_r")).select(key, "_r.*").select(*df.columns)
+    return df.groupBy(key).agg(pick(F.struct(*cols), F.col(order)).alias("_r")).select(key, "_r.*").select(*df.columns)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from confluo.operators.features import PAIR
+from confluo.operators.order import ranked
 from confluo.operators.records import with_source
 
 STRATA = {"none": 400, "one": 600, "many": 2000}
@@ -29,8 +30,7 @@ def stratified_sample(s1: DataFrame, truth: DataFrame, sizes: dict[str, int] | N
     sizes = sizes or STRATA
     rows = match_counts(s1, truth).withColumn("stratum", stratum(F.col("matches")))
     most = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy("stratum").orderBy(order_key(PAIR[0], seed), PAIR[0])))
-    return ranked.where(F.col("_r") <= most[F.col("stratum")]).select(PAIR[0], "stratum", "matches")
+    return ranked(rows, "stratum", order_key(PAIR[0], seed), PAIR[0], most[F.col("stratum")]).select(PAIR[0], "stratum", "matches")
 
 
 def true_records(records: DataFrame, sample: DataFrame, truth: DataFrame) -> DataFrame:
@@ -43,8 +43,7 @@ def distractors(records: DataFrame, sample: DataFrame, truth: DataFrame, per_sou
     """Records of each other source that match nothing sampled, a fixed number a source."""
     ids = truth.join(sample, PAIR[0], "left_semi").select(F.col(PAIR[1]).alias("entity_id"))
     pool = with_source(records).where("src <> 'S1'").join(ids, "entity_id", "left_anti")
-    ranked = pool.withColumn("_r", F.row_number().over(Window.partitionBy("src").orderBy(order_key("entity_id", seed), "entity_id")))
-    return ranked.where(F.col("_r") <= per_source).drop("_r")
+    return ranked(pool, "src", order_key("entity_id", seed), "entity_id", F.lit(per_source)).select(*pool.columns)
 
 
 def sample_fixture(records: DataFrame, truth: DataFrame, sizes: dict[str, int] | None = None, per_source: int = 5000) -> DataFrame:
@@ -59,9 +58,7 @@ def sample_fixture(records: DataFrame, truth: DataFrame, sizes: dict[str, int] |
 def grouped_split(features: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
     """features with is_val: whole primary records, the same share of those with and without a match."""
     n = features.groupBy(PAIR[0]).agg((F.count_if("is_match") == 0).alias("single"))
-    w = Window.partitionBy("single")
-    ranked = n.withColumns({"_r": F.row_number().over(w.orderBy(order_key(PAIR[0], seed), PAIR[0])), "_n": F.count("*").over(w)})
-    val = ranked.select(PAIR[0], (F.col("_r") <= F.ceil(F.col("_n") * share)).alias("is_val"))
+    val = ranked(n, "single", order_key(PAIR[0], seed), PAIR[0]).select(PAIR[0], (F.col("_r") <= F.ceil(F.col("_n") * share)).alias("is_val"))
     return features.join(val, PAIR[0])
 
 

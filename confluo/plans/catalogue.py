@@ -39,11 +39,11 @@ def _pairs(clean: DataFrame, k: int = FEW) -> DataFrame:
     return blocking.candidates(clean, k).select(F.col("s1").alias(PAIR[0]), F.col("cand").alias(PAIR[1]))
 
 
-def _cheap(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs with the set features, is_match and score, the mean of two of them."""
+def _cheap(spark: SparkSession, d: str, all_ten: bool = False) -> DataFrame:
+    """Pairs with the set features (or all), is_match and score, the mean of two of them."""
     clean = _clean_table(spark, d)
     both = features.with_records(_pairs(clean), clean)
-    made = features.name_address(both) | features.context()
+    made = (features.ratios() if all_ten else {}) | features.name_address(both) | features.context()
     out = both.select(*PAIR, *[c.alias(n) for n, c in made.items()])
     score = F.round((F.col("name_char_ngram_jaccard") + F.col("address_token_jaccard")) / 2, 6)
     return features.label(out, fixture.truth(spark, d)).withColumn("score", score)
@@ -212,12 +212,12 @@ def comparable_postal(spark, d):
 
 @query
 def feature_means_by_label(spark, d):
-    return features.means_by_label(_cheap(spark, d))
+    return features.means_by_label(_cheap(spark, d, True))
 
 
 @query
 def feature_describe(spark, d):
-    return features.describe(_cheap(spark, d), ["name_char_ngram_jaccard", "address_token_jaccard"])
+    return features.describe(_cheap(spark, d, True), features.FEATURES)
 
 
 @query

@@ -23,9 +23,8 @@ FROM documents a JOIN documents b ON a.text = b.text WHERE a.doc_id % 3 = 0 AND
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     # The table's name is bound for this statement alone.
-    return spark.sql(text.replace("FROM documents a JOIN documents b", "FROM {documents} a JOIN {documents} b").replace("FROM documents", "FROM {documents}"), documents=documents)
+    return spark.sql(text.replace("FROM documents", "FROM {documents}"), documents=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +32,11 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, TRUTH)
+    """TRUTH by digests of the texts, so that no text is shuffled."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.md5("text").alias("digest"))
+    other = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string"))
+    one = docs.where("doc_id % 3 = 0").select("digest", F.concat(F.lit("S1-"), F.col("doc_id").cast("string")).alias(PAIR[0]))
+    return one.join(docs.where("doc_id % 3 <> 0").select("digest", other.alias(PAIR[1])), "digest").select(*PAIR)
 
 
 def primary(records: DataFrame) -> DataFrame:

@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no spark.checkpoint.dir, as in tests.
+#: Used only where the session names no spark.checkpoint.dir and runs on one machine, as in tests.
 OWN_DIR = "/tmp/checkpoints/confluo"
 
 
-def _shared(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or our own on a local master."""
     if at := spark.conf.get("spark.checkpoint.dir", None):
         return at.rstrip("/")
-    by_user = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return by_user.get().rstrip("/") if by_user.isDefined() else OWN_DIR
+    if (by_user := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
+        return by_user.get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return OWN_DIR
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -29,12 +34,18 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/confluo-{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the folder that driver and executors share, removed when the driver ends.
+    """df as a Parquet table in the shared folder, removed when the driver ends.
 
     Its readers take only the columns they use, and a lost executor loses none of it.
     """
-    spark, path = df.sparkSession, f"{_shared(df.sparkSession)}/confluo-{name}-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -65,11 +65,14 @@ def plain_lcs(a, b):
 
 
 def test_common_subsequence():
-    assert s.common_subsequence("kitten", "sitting") == 4
+    assert s.common_subsequences(["kitten", "", "a"], ["sitting", "x", "a"]).tolist() == [4, 0, 1]
     rnd = random.Random(1)
-    for _ in range(500):
-        a, b = ("".join(rnd.choice("abcé") for _ in range(rnd.randint(0, 20))) for _ in "ab")
-        assert s.common_subsequence(a, b) == plain_lcs(a, b) == s.common_subsequence(b, a)
+    pairs = [["".join(rnd.choice("abcé中") for _ in range(rnd.choice([0, 1, 7, 20, 63, 64, 65, 130, 200]))) for _ in range(400)] for _ in "ab"]
+    want = [plain_lcs(a, b) for a, b in zip(*pairs)]
+    assert s.common_subsequences(*pairs).tolist() == s.common_subsequences(*pairs[::-1]).tolist() == want
+    s.CELLS, cells = 3000, s.CELLS
+    assert s.common_subsequences(*pairs).tolist() == want
+    s.CELLS = cells
 
 
 def test_similarities(spark):
