@@ -5,12 +5,14 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from confluo.operators import assign, blocking, features, model, profile, records, sampling, validate
 from confluo.operators.features import PAIR
 from confluo.sources import tables
+from confluo.sources.staging import staged
 
 
 def session() -> SparkSession:
@@ -43,14 +45,17 @@ def block(spark, a):
     clean = _all(spark, a.inputs)
     if a.country:
         clean = records.only_country(clean, a.country)
-    lists = blocking.candidate_lists(clean, blocking.candidates(clean, a.per_source))
+    lists = staged(blocking.candidate_lists(clean, blocking.candidates(clean, a.per_source)), "lists")
     tables.write_packed(lists.withColumn("_o", F.col(PAIR[0])), a.output, "_o")
     blocking.candidate_stats(lists).show()
 
 
 def make_features(spark, a):
     truth = _truth(spark, a.truth) if a.truth else None
-    tables.write_parquet(features.pair_features(tables.read_pairs(spark, a.candidates), _all(spark, a.inputs), truth), a.output)
+    pairs = tables.read_pairs(spark, a.candidates)
+    if n := features.unknown_sources(pairs).first()["n"]:
+        print(f"warning: {n} candidates have neither the S2- nor the S3- prefix")
+    tables.write_parquet(features.pair_features(pairs, _all(spark, a.inputs), truth), a.output)
 
 
 def train(spark, a):
@@ -66,8 +71,12 @@ def train(spark, a):
 
 
 def score(spark, a):
-    tables.write_parquet(model.score(model.load(a.model), spark.read.parquet(a.features)), a.output)
-    assign.score_summary(spark.read.parquet(a.output)).show()
+    rows = spark.read.parquet(a.features)
+    tables.write_parquet(model.score(model.load(a.model), rows), a.output)
+    scores = spark.read.parquet(a.output)
+    assign.score_summary(scores).show()
+    if not assign.same_rows(scores, rows):
+        raise ValueError("the numbers of scores and of pairs differ")
 
 
 def do_assign(spark, a):
@@ -84,6 +93,9 @@ def evaluate(spark, a):
 
 
 def do_validate(spark, a):
+    for p in (a.test, *(a.check_ids or ()), *([a.candidates] if a.candidates else [])):
+        if not p.endswith(".parquet") and tables.invalid_text(spark, p):
+            raise ValueError(f"{p} is not UTF-8 text")
     required = tables.read_ids(spark, a.test)
     known = None
     for p in a.check_ids or ():
@@ -139,7 +151,7 @@ def main(argv: list[str] | None = None) -> int:
     a = parser.parse_args(argv)
     try:
         return COMMANDS[a.command][0](session(), a) or 0
-    except (OSError, UnicodeDecodeError, ValueError) as e:
+    except (OSError, ValueError, AnalysisException) as e:  # such as a missing file
         print(f"FAIL: {e}")
         return 1
 

@@ -48,4 +48,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove staged tables that no plan will read any more."""
+    for t in tables:
+        _remove(t.sparkSession, t._staged)
