@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import time
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no spark.checkpoint.dir, as in tests.
-OWN_DIR = "/tmp/checkpoints/confluo"
+from confluo.sources.staging import drop, fresh_path  # noqa: F401
+from confluo.sources.staging import staged as written
+
 #: Rows in one Arrow batch at most; texts are long, so it is well below Spark's default.
 BATCH_ROWS = 512
 #: Entries of a worker's word caches; a full cache is emptied and filled anew.
@@ -30,41 +29,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or our own where it is unset."""
-    if at := spark.conf.get("spark.checkpoint.dir", None):
-        return at.rstrip("/")
-    if (set_by_user := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
-        return set_by_user.get().rstrip("/")
-    spark.sparkContext.setCheckpointDir(OWN_DIR)
-    return shared_dir(spark)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is None:
-        return
-    try:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session has ended; the folder stays for whoever cleans the shared directory
-        return
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/confluo-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: it cuts the lineage, and a lost executor loses none of it."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of plans that have run; it acts on what both garbage collectors have let go."""
     for _ in range(2):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from confluo.llm.common import written
+from confluo.llm.common import drop, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def components(links: DataFrame) -> DataFrame:
     both = written(both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     # The smallest neighbour of each node, which itself may be the smaller: partial sums meet by key.
     roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).select("node", F.least("node", "root").alias("root"))
-    roots = written(roots, "roots")
+    roots = last = written(roots, "roots")
     while True:
         near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         mine = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
@@ -27,6 +27,8 @@ def components(links: DataFrame) -> DataFrame:
         told = mine.where("next < root").groupBy(F.col("root").alias("node")).agg(F.min("next").alias("told"))
         step = mine.join(up, "next").join(told, "node", "left").select("node", "root", F.least("next", "top", "told").alias("next"))
         step = written(step, "roots")
+        drop(last)
         if step.where("next < root").isEmpty():
+            drop(both)
             return step.select("node", "root")
-        roots = step.select("node", F.col("next").alias("root"))
+        roots, last = step.select("node", F.col("next").alias("root")), step

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import MULT, bitmap, documents, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
+from confluo.llm.common import MULT, bitmap, documents, drop, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
 
 PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 4
 FLUSH, PER_BUCKET, HOT = 1 << 19, 1 << 16, 1 << 16
@@ -595,15 +595,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(one, "late").join(two, "early").select("late", "x", "y"), work, "late long")
 
 
-def _decided(made: DataFrame, sets_of, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sets with an earlier match among the candidates made; those still open as some of their candidates were not kept; the sets' words, which sets_of gives for the sets wanted."""
+def _decided(made: DataFrame, sets_of, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets with an earlier match among the candidates made; those still open as some of their candidates were not kept, with their words, which sets_of gives for the sets wanted."""
     found = written(made.groupBy("late", "early").agg(F.max("alike").alias("alike"), F.max("more").alias("more")), "candidates")
     sets = written(sets_of(found.select(F.explode(F.array("late", "early")).alias("set"))), "sets")
     best = found.groupBy("late").agg(F.max(F.struct("alike", "early"))["early"].alias("early"))
     hit = written(_confirmed(best, sets, percent), "matched")
     rest = found.join(hit, "late", "left_anti").select("late", "early")
     gone = hit.union(written(_confirmed(rest, sets, percent).distinct(), "matched")).select(F.col("late").alias("set"))
-    return gone, found.where("more").select(F.col("late").alias("set")).distinct().join(gone, "set", "left_anti"), sets
+    open_ = written(sets.join(found.where("more").select(F.col("late").alias("set")).distinct().join(gone, "set", "left_anti"), "set", "left_semi"), "undecided")
+    drop(found, sets)
+    return gone, open_
 
 
 def removed_lines(rows: DataFrame, percent: int = PERCENT, keep: int = KEEP, hot: int = HOT, flush: int = FLUSH) -> DataFrame:
@@ -613,14 +615,15 @@ def removed_lines(rows: DataFrame, percent: int = PERCENT, keep: int = KEEP, hot
     shared, buckets = context.broadcast(counts), 1 << min(30, max(10, (n // (4 * PER_BUCKET)).bit_length()))
     made = candidates(postings(rows, _of_texts, shared, percent, buckets, flush), percent, keep, False, hot)
     free_shuffles(rows.sparkSession)  # the postings, several times the size of what follows
-    gone, undecided, sets = _decided(made, lambda wanted: _sets(rows, wanted), percent)
-    undecided = written(sets.join(undecided, "set", "left_semi"), "undecided")
+    gone, undecided = _decided(made, lambda wanted: _sets(rows, wanted), percent)
     if not undecided.isEmpty():
         near = written(_near(rows, context.broadcast(bitmap(_asked_keys(undecided.select("words"), shared, percent), "key"))), "near")
         asked = context.broadcast(bitmap(undecided, "set"))
         made = candidates(postings(near, _of_words, shared, percent, buckets, flush, asked), percent, 0, True, hot)
-        again, _, _ = _decided(made, lambda wanted: near.select("set", "words").join(wanted.distinct(), "set", "left_semi").dropDuplicates(["set"]), percent)
+        again, _ = _decided(made, lambda wanted: near.select("set", "words").join(wanted.distinct(), "set", "left_semi").dropDuplicates(["set"]), percent)
         gone = gone.union(again)
+        drop(near)
+    drop(undecided)
     out = _gone(lines, gone.distinct(), buckets)
     return out.groupBy("doc", "mark").agg(F.collect_set("number").alias("numbers"))
 

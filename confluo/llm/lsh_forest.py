@@ -39,7 +39,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import bitmap, documents, is_marked, map_arrow, shingles, utf8, word_hashes, written
+from confluo.llm.common import bitmap, documents, drop, is_marked, map_arrow, shingles, utf8, word_hashes, written
 from confluo.llm.graph import components
 
 K, SIZE, TREES, DEPTH = 5, 128, 32, 4
@@ -242,7 +242,9 @@ def unconnected(docs: DataFrame, active: DataFrame, classes: DataFrame, roots: D
             yield out()
 
     by = ["region", "tree", "i", "j"]
-    return written(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "a long, b long"), "unconnected")
+    links = written(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "a long, b long"), "unconnected")
+    drop(jobs, sets)
+    return links
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -288,17 +290,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weight = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("w"))
     left, right = (weight.select(F.col("c").alias(k), F.col("w").alias(w)) for k, w in (("a", "wa"), ("b", "wb")))
     up = (F.col("wa") > F.col("wb")) | ((F.col("wa") == F.col("wb")) & (F.col("a") < F.col("b")))
-    pairs = written(pairs.join(left, "a").join(right, "b").select(F.when(up, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.when(up, F.col("a")).otherwise(F.col("b")).alias("hub"), "agree", F.greatest("wa", "wb").alias("w")), "pairs")
+    found, pairs = pairs, written(pairs.join(left, "a").join(right, "b").select(F.when(up, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.when(up, F.col("a")).otherwise(F.col("b")).alias("hub"), "agree", F.greatest("wa", "wb").alias("w")), "pairs")
+    drop(found)
     sets = _sets(docs, classes, pairs.select(F.explode(F.array("leaf", "hub")).alias("c")))
     # A class's best candidate: the most agreement in steps of eight, then the hub with the most company.
     best = pairs.groupBy("leaf").agg(F.max(F.struct(F.floor(F.col("agree") / 8).alias("step"), "w", "hub"))["hub"].alias("hub"))
     links = verified(best, sets)
     roots = components(links)
     more = verified(written(_apart(pairs.join(best, ["leaf", "hub"], "left_anti"), roots), "apart"), sets)
+    drop(sets, pairs)
     links = links.union(more)
     roots = components(links)
     if (more := unconnected(docs, active, classes, roots)) is not None:
         roots = components(links.union(more))
+    drop(active)
     named = classes.select("digest", "c", F.col("first.doc_id").alias("doc")).join(roots, F.col("c") == F.col("node"), "left")
     named = named.select("digest", "doc", F.coalesce("root", "c").alias("root"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))

@@ -12,7 +12,8 @@ rejected good rows, is used; a rule without a positive gain is off in that strat
 
 Null texts have no words: all counts 0 and base_failed. Rows without a label, repeated labels, null
 ids and empty label tables are allowed; with no labels nothing beyond base_failed is rejected. A
-doc_id labelled more than once counts once, as good if any label says so.
+doc_id labelled more than once counts once, as good if any label says so. Repeated rows are judged alike;
+an empty table gives an empty result. Texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -87,8 +88,9 @@ def certified(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
         return F.size(F.filter(F.array(*map(F.lit, grid)), lambda c: c < v)).alias("bucket")
 
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), below(grid, v)) for (r, grid), v in zip(RULES.items(), values(F.col("_q")).values())])
-    # A doc_id held by several rows weighs as its rows; rows that the base rejects are not the rules' to judge.
-    held = rows.where(~base_failed(F.col("_q"))).join(good, "doc_id").select("stratum", "_good", F.explode(rules).alias("r"))
+    # Rows that the base rejects are not the rules' to judge. A doc_id that several rows hold counts once, by the least of them: the bound needs independent rows.
+    held = rows.where(~base_failed(F.col("_q"))).join(good, "doc_id").groupBy("doc_id").agg(F.min(F.struct("stratum", "_q", "_good")).alias("x")).select("x.*")
+    held = held.select("stratum", "_good", F.explode(rules).alias("r"))
     counts = held.groupBy("stratum", "r.rule", "r.bucket").agg(F.count_if(F.col("_good") == 1).alias("good"), F.count_if(F.col("_good") != 1).alias("bad"))
     grid = F.create_map(*[x for r, g in RULES.items() for x in (F.lit(r), F.array(*map(F.lit, g)))])
     # One row for each stratum and rule: buckets are at most as many as cutoffs, and one.

@@ -16,7 +16,7 @@ equal windows have equal anchors. The windows of one document that share an anch
    go to one task: its windows are counted by their own 64-bit hashes, with partial sums.
 
 Spans come back to their documents, touching ones merge, and the words they cover go. Words are compared
-by 64-bit hashes. Null texts have no words. Documents are known by (doc_id, hash of the text), nulls
+by 64-bit hashes. Null texts have no words; an empty table gives an empty result; texts are taken whole. Documents are known by (doc_id, hash of the text), nulls
 included, so repeated rows are copies of each other and lose what they share.
 """
 
@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm.common import MULT, documents, map_arrow, mixed, shingles, utf8, word_hashes, written
+from confluo.llm.common import MULT, documents, drop, map_arrow, mixed, shingles, utf8, word_hashes, written
 
 SPAN, GRAM = 35, 8
 SHARD_WORDS, HOT = 40_000, 4096
@@ -251,12 +251,16 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, shard_words: int = SHARD_W
     """doc_id, mark, spans (array of a, b in words) for documents (doc_id, mark, text) with repeated windows."""
     anchors = _anchored(docs, span)
     met = anchors.groupBy("anchor").agg(F.count("*").alias("times"), F.min("fragment").alias("low"), F.max("fragment").alias("high")).where("times > 1").select("anchor", (F.col("low") == F.col("high")).alias("same"))
+    # Written, so that both sides of the join are dealt anew and one anchor's rows can be split.
+    met = written(met, "met")
     shared = written(anchors.join(met, "anchor"), "shared")
+    drop(anchors, met)
     whole = shared.where("same").select("doc_id", "mark", F.struct(F.col("first").alias("a"), F.col("end").alias("b")).alias("span"))
     mixed_ones = shared.where("NOT same")
     kinds = mixed_ones.groupBy("anchor", "fragment").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "first", "end")).alias("at"))
-    heat = kinds.groupBy("anchor").agg((F.count("*") > hot).alias("hot"))
-    wanted = kinds.join(heat, "anchor").select("anchor", "fragment", "n", "hot", "at.*")
+    kinds = written(kinds, "kinds")
+    heat = written(kinds.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("anchor", F.lit(True).alias("hot")), "heat")
+    wanted = kinds.join(heat, "anchor", "left").select("anchor", "fragment", "n", F.coalesce("hot", F.lit(False)).alias("hot"), "at.*")
     pieces = written(_with_words(docs, wanted), "pieces")
     verdict = _by_automata(pieces.where("NOT hot"), span, shard_words).unionByName(_by_windows(pieces.where("hot"), span))
     found = mixed_ones.join(verdict, ["anchor", "fragment"]).select("doc_id", "mark", "first", F.explode("spans").alias("s"))

@@ -2,9 +2,9 @@
 
 The file format (WMX1), little-endian: magic, bits b, ids n, b zero counts, b plane lengths, then the
 b bit-planes, each compressed with zstd. Plane 0 holds the ids' highest bits in order; plane i + 1
-holds the next bit after a stable partition by plane i, zeros first. Opened, a plane has a directory
-of ones before each byte, so rank takes constant time, and access, count and occurrence lookup take one
-rank or select for each plane.
+holds the next bit after a stable partition by plane i, zeros first. A plane is unpacked when it is first
+used and has a directory of ones before each 512 bits (a sixteenth of the plane), so rank takes constant
+time, and access, count and occurrence lookup take one rank or select for each plane.
 
 A shard is a run of whole documents in ascending doc_id order (null first, ties by text), closed once
 it holds SHARD_IDS ids; a shard's file is one row of a Parquet table that Spark's writer commits, so
@@ -60,20 +60,30 @@ class WaveletMatrix:
         if magic != MAGIC:
             raise ValueError("not a WMX1 file")
         rest = struct.unpack_from(f"<{2 * self.bits}Q", blob, 16)
-        self.zeros, at, self.packed, self._ones = rest[: self.bits], 16 + 16 * self.bits, [], {}
-        for size in rest[self.bits :]:
-            self.packed.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[at : at + size], max_output_size=self.n // 8 + 64), np.uint8))
-            at += size
+        ends = np.cumsum([16 + 16 * self.bits, *rest[self.bits :]]).tolist()
+        self.zeros, self._packed = rest[: self.bits], [blob[a:b] for a, b in zip(ends, ends[1:])]
+        self._planes: dict[int, np.ndarray] = {}
+        self._ones: dict[int, np.ndarray] = {}
+
+    def plane(self, level: int) -> np.ndarray:
+        """A plane's bits in bytes; unpacked when first used."""
+        if level not in self._planes:
+            raw = zstandard.ZstdDecompressor().decompress(self._packed[level], max_output_size=self.n // 8 + 64)
+            self._planes[level] = np.frombuffer(raw, np.uint8)
+        return self._planes[level]
 
     def _rank1(self, level: int, i: int) -> int:
-        """Ones among the first i bits of a plane."""
+        """Ones among the first i bits of a plane: those before the block of 512 bits, and a count within it."""
+        plane = self.plane(level)
         if level not in self._ones:
-            self._ones[level] = np.concatenate([[0], np.cumsum(np.bitwise_count(self.packed[level]), dtype=np.uint32)])
-        byte, rest = divmod(i, 8)
-        return int(self._ones[level][byte]) + (int(self.packed[level][byte] >> (8 - rest)).bit_count() if rest else 0)
+            bits = np.bitwise_count(np.pad(plane, (0, -len(plane) % 64))).reshape(-1, 64).sum(axis=1, dtype=np.uint64)
+            self._ones[level] = np.concatenate([[0], np.cumsum(bits)]).astype(np.uint32 if self.n < 1 << 32 else np.uint64)
+        block, (byte, rest) = i >> 9, divmod(i, 8)
+        ones = int(self._ones[level][block]) + int(np.bitwise_count(plane[block << 6 : byte]).sum())
+        return ones + (int(plane[byte] >> (8 - rest)).bit_count() if rest else 0)
 
     def _bit(self, level: int, i: int) -> int:
-        return int(self.packed[level][i >> 3] >> (7 - (i & 7))) & 1
+        return int(self.plane(level)[i >> 3] >> (7 - (i & 7))) & 1
 
     def access(self, i: int) -> int:
         """The id at place i."""
@@ -117,7 +127,7 @@ class WaveletMatrix:
         """The whole sequence, by undoing the partitions from the last plane up."""
         out = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for level in range(self.bits - 1, -1, -1):
-            one = np.unpackbits(self.packed[level], count=self.n).view(bool)
+            one = np.unpackbits(self.plane(level), count=self.n).view(bool)
             back = np.empty_like(out)
             back[np.flatnonzero(~one)] = out[: self.zeros[level]]
             back[np.flatnonzero(one)] = out[self.zeros[level] :] | out.dtype.type(1 << (self.bits - 1 - level))
