@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from confluo.llm import byte_bpe, decontamination, line_dedup, lsh_forest, quality_model, quality_rules, sharding, substring_dedup, token_count, wavelet
+from confluo.llm import byte_bpe, decontamination, line_dedup, lsh_forest, oracle, quality_model, quality_rules, sharding, substring_dedup, token_count, wavelet
 
 QUERIES = {
     f.__name__: f
@@ -19,4 +19,4 @@ QUERIES = {
         quality_model.op10_quality_model,
     )
 }
-ORACLE_SQL = dict(sharding.ORACLE_SQL)
+ORACLE_SQL = sharding.ORACLE_SQL | oracle.ORACLE_SQL

@@ -148,12 +148,14 @@ def test_sharding(docs, rows, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
-def test_sharding_sql(spark):
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
-    theirs = con.sql(registry.ORACLE_SQL["op4_sharding"]).df()
-    ours = registry.QUERIES["op4_sharding"](spark, DATA).toPandas()
+    for table in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    theirs, ours = con.sql(registry.ORACLE_SQL[name]).df(), registry.QUERIES[name](spark, DATA).toPandas()
     key = sorted(ours.columns)
+    assert key == sorted(theirs.columns)
     assert sorted(map(tuple, ours[key].to_numpy().tolist())) == sorted(map(tuple, theirs[key].to_numpy().tolist()))
 
 
