@@ -331,11 +331,11 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs that are first in their component, with docs' columns, whatever their names; rows that repeat both id and text are one document to it and stay or go together."""
-    verdict = near_duplicates(docs.select("doc_id", "text")).select("doc_id", "mark", "kept").where("kept").distinct()
+    gone = near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select("doc_id", "mark").distinct()
     # The row travels as one struct, so that no column's name can clash.
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row", F.xxhash64(utf8("row.text")).alias("mark"))
-    same = whole["row.doc_id"].eqNullSafe(verdict["doc_id"]) & (whole["mark"] == verdict["mark"])
-    return whole.join(verdict, same, "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    same = (whole["row.doc_id"] == gone["doc_id"]) & (whole["mark"] == gone["mark"])
+    return whole.join(gone, same, "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

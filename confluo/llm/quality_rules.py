@@ -110,7 +110,8 @@ def judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
     over = F.lit(False)
     for r, v in values(own).items():
         over = over | F.coalesce(v > F.col("cutoffs")[r], F.lit(False))
-    out = rows.join(cutoffs, "stratum", "left")
+    # A table whose size Spark knows: where it is small, as strata mostly are few, the rows are not shuffled.
+    out = rows.join(written(cutoffs, "cutoffs"), "stratum", "left")
     return out.withColumns({"base_failed": base_failed(own), "kept": ~(base_failed(own) | over)}).drop("cutoffs")
 
 
