@@ -266,9 +266,16 @@ def score_summary(spark, d):
     return assign.score_summary(_cheap(spark, d))
 
 
+_MODELS: dict = {}
+
+
 def _boosted(spark, d):
-    rows = pair_features(spark, d).cache()
-    return rows, model.fit(rows, rounds=20, depth=3)
+    """The pairs' features and the classifier fitted to them with the operator's own rounds: once for a session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        rows = staged(pair_features(spark, d), "features")
+        _MODELS[key] = rows, model.fit(rows)
+    return _MODELS[key]
 
 
 @query
