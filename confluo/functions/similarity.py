@@ -1,4 +1,4 @@
-"""Similarity of pairs of strings. Set measures are array functions; the common subsequence is an Arrow function."""
+"""Similarity of pairs of strings. Word sets and flags are column functions; what works on characters is vectorised over the pairs of an Arrow batch."""
 
 from __future__ import annotations
 
@@ -6,25 +6,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import DoubleType, IntegerType
 
 from confluo.functions.text import tokens
 
-CELLS = 1 << 22
+#: Cells of a table that is worked on at once, at most (or one pair's).
+CELLS = 1 << 21
 
 
 def common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
     """The length of the longest common subsequence of each pair of strings: bit rows in 64-bit words, a step for each character of b, all pairs at once."""
     out = np.zeros(len(a), np.int32)
     size = np.fromiter((len(x) * len(y) for x, y in zip(a, b)), np.int64, len(a))
-    # Pairs of like sizes share a block, whose match table has CELLS cells at most, or one pair.
+    # Pairs of like sizes share a block.
     order = np.argsort(size, kind="stable")
     order = order[size[order] > 0].tolist()
     while order:
         rows, wide, high = [], 0, 0
         while order:
             w, h = max(wide, len(a[order[-1]])), max(high, len(b[order[-1]]))
-            if rows and (len(rows) + 1) * (w + 64) * h > CELLS:
+            if rows and (len(rows) + 1) * (w + 64 + h) > CELLS:
                 break
             wide, high = w, h
             rows.append(order.pop())
@@ -32,16 +33,23 @@ def common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-def _characters(texts: list[str], width: int, fill: int) -> np.ndarray:
-    out = np.full((len(texts), width), fill, np.uint32)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    out[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts, and the texts' lengths."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), np.fromiter(map(len, texts), np.int64, len(texts))
+
+
+def _table(texts: list[str], width: int, fill: int, kind) -> np.ndarray:
+    codes, sizes = _codes(texts)
+    out = np.full((len(texts), width), fill, kind)
+    out[np.arange(width) < sizes[:, None]] = codes
     return out
 
 
 def _block(a: list[str], b: list[str], words: int, high: int) -> np.ndarray:
-    # Fillers differ, so what is beyond a string's end matches nothing.
-    x, y = _characters(a, 64 * words, 0xFFFFFFFF), _characters(b, high, 0xFFFFFFFE)
+    # Fillers differ, so what is beyond a string's end matches nothing; characters take as few bytes as hold them.
+    kind = np.uint8 if max(map(max, a + b)) < "\xfe" else np.uint32
+    top = np.iinfo(kind).max
+    x, y = _table(a, 64 * words, top, kind), _table(b, high, top - 1, kind)
     row, one = [np.full(len(a), 0xFFFFFFFFFFFFFFFF, np.uint64) for _ in range(words)], np.uint64(1)
     for j in range(high):
         hits = np.packbits(x == y[:, j, None], axis=1, bitorder="little").view("<u8")
@@ -56,54 +64,111 @@ def _block(a: list[str], b: list[str], words: int, high: int) -> np.ndarray:
     return sum(np.bitwise_count(~r).astype(np.int32) for r in row)
 
 
-@F.pandas_udf(IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(common_subsequences(a.fillna("").tolist(), b.fillna("").tolist()))
-
-
-def _joined(a: Column) -> Column:
-    return F.array_join(F.array_sort(a), " ")
+def _words(text: str) -> list[str]:
+    return [w for w in text.split(" ") if w]
+
+
+def sort_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """2 * lcs / (length + length) of the words in order; 0 if a side is blank."""
+    x, y = ([" ".join(sorted(_words(t))) for t in side] for side in (a, b))
+    both = np.fromiter((len(p) + len(q) if p and q else 0 for p, q in zip(x, y)), np.int64, len(x))
+    return np.where(both > 0, 2.0 * common_subsequences(x, y) / np.maximum(both, 1), 0.0)
+
+
+def set_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """1 if one word set holds the other and they meet; else the best of the measures over common and own words; 0 if a side is blank."""
+    known: dict[str, tuple[set, bool]] = {}
+    of = lambda t: known.get(t) or known.setdefault(t, (set(_words(t)), True))
+    common, left, right, none = [], [], [], np.zeros(len(a), bool)
+    for i, (s, t) in enumerate(zip(a, b)):
+        p, q = of(s)[0], of(t)[0]
+        none[i] = not p or not q
+        common.append(" ".join(sorted(p & q)))
+        left.append(" ".join(sorted(p - q)))
+        right.append(" ".join(sorted(q - p)))
+    n, p, q = (np.fromiter(map(len, x), np.int64, len(a)) for x in (common, left, right))
+    gap = (n > 0).astype(np.int64)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        own = 1.0 - (p + q - 2 * common_subsequences(left, right)) / ((n + gap + p) + (n + gap + q))
+        part = lambda k: 1.0 - (gap + k) / (n + n + gap + k)
+        out = np.where(n == 0, own, np.maximum(own, np.maximum(part(p), part(q))))
+    return np.where(none, 0.0, np.where((n > 0) & ((p == 0) | (q == 0)), 1.0, out))
+
+
+def gram_jaccards(a: list[str], b: list[str], n: int = 3) -> np.ndarray:
+    """The Jaccard similarity of the sets of windows of n characters, n being 3 at most, of each pair; a shorter string is its own window; 0 if a side is blank."""
+    out, sizes = np.zeros(len(a)), np.cumsum([len(x) + len(y) for x, y in zip(a, b)])
+    start = 0
+    while start < len(a):
+        stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + CELLS, "right")))
+        out[start:stop] = _gram_jaccards(a[start:stop], b[start:stop], n)
+        start = stop
+    return out
 
 
-def ratio(x: Column, y: Column) -> Column:
-    """2 * lcs / (length + length); 1 for two empty strings."""
-    both = F.char_length(x) + F.char_length(y)
-    return F.when(both == 0, 1.0).otherwise(2.0 * lcs_length(x, y) / both)
+def _dense(codes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Characters numbered from 1 as they are met in the order of their codes, and how many there are."""
+    met = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    met[codes] = True
+    return np.cumsum(met)[codes].astype(np.uint64), int(met.sum())
+
+
+def _windows(codes: np.ndarray, sizes: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """text, window (its characters in fields of some bits, 0 beyond the text's end) of all windows."""
+    begin = np.cumsum(sizes + n - 1) - (sizes + n - 1)
+    flat = np.zeros(int((sizes + n - 1).sum()) + n, np.uint64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(codes)) + text * (n - 1)
+    flat[at] = codes
+    first = at - begin[text] < np.maximum(sizes[text] - (n - 1), 1)
+    at, text = at[first], text[first]
+    window = flat[at]
+    for k in range(1, n):
+        window = window << np.uint64(bits) | flat[at + k]
+    return text, window
+
+
+def _gram_jaccards(a: list[str], b: list[str], n: int) -> np.ndarray:
+    (x, p), (y, q) = _codes(a), _codes(b)
+    codes, met = _dense(np.concatenate([x, y]))
+    bits = met.bit_length()
+    sides = [_windows(codes[: len(x)], p, n, bits), _windows(codes[len(x) :], q, n, bits)]
+    if n * bits + len(a).bit_length() > 63:  # so many characters that windows get numbers of their own
+        values, ids = np.unique(np.concatenate([w for _, w in sides]), return_inverse=True)
+        sides = [(sides[0][0], ids[: len(sides[0][1])].astype(np.uint64)), (sides[1][0], ids[len(sides[0][1]) :].astype(np.uint64))]
+        wide = len(values).bit_length()
+    else:
+        wide = n * bits
+    one, two = (np.unique(text.astype(np.uint64) << np.uint64(wide) | window) for text, window in sides)
+    at = np.searchsorted(two, one)
+    hit = one[at < len(two)] == two[at[at < len(two)]]
+    count = lambda k: np.bincount((k >> np.uint64(wide)).astype(np.int64), minlength=len(a))
+    same = count(one[at < len(two)][hit])
+    both = count(one) + count(two) - same
+    blank = np.fromiter((not s.strip(" ") or not t.strip(" ") for s, t in zip(a, b)), bool, len(a))
+    return np.where(blank | (both == 0), 0.0, same / np.maximum(both, 1))
+
+
+def _arrow(measure, kind):
+    """A Column function of two strings from one that works on lists."""
+    made = F.pandas_udf(lambda x, y: pd.Series(measure(x.tolist(), y.tolist())), kind)
+    return lambda x, y: made(F.coalesce(x, F.lit("")), F.coalesce(y, F.lit("")))
+
+
+lcs_length = _arrow(common_subsequences, IntegerType())
+token_sort_ratio = _arrow(sort_ratios, DoubleType())
+token_set_ratio = _arrow(set_ratios, DoubleType())
+gram_jaccard = _arrow(gram_jaccards, DoubleType())
 
 
 def either_blank(x: Column, y: Column) -> Column:
     return (F.trim(x) == "") | (F.trim(y) == "")
 
 
-def token_sort_ratio(x: Column, y: Column) -> Column:
-    return F.when(either_blank(x, y), 0.0).otherwise(ratio(_joined(tokens(x)), _joined(tokens(y))))
-
-
-def token_set_ratio(x: Column, y: Column) -> Column:
-    """1 if one word set holds the other and they meet; else the best of the measures over common and own words."""
-    a, b = F.array_distinct(tokens(x)), F.array_distinct(tokens(y))
-    common, left, right = _joined(F.array_intersect(a, b)), _joined(F.array_except(a, b)), _joined(F.array_except(b, a))
-    n, p, q = F.char_length(common), F.char_length(left), F.char_length(right)
-    gap = F.when(n > 0, 1).otherwise(0)
-    whole = (n + gap + p) + (n + gap + q)
-    own = 1.0 - (p + q - 2 * lcs_length(left, right)) / whole
-    part = lambda k: 1.0 - (gap + k) / (n + n + gap + k)
-    return F.when(either_blank(x, y), 0.0).when((n > 0) & ((p == 0) | (q == 0)), 1.0).when(n == 0, own).otherwise(F.greatest(own, part(p), part(q)))
-
-
-def grams(c: Column, n: int = 3) -> Column:
-    """The distinct windows of n characters; a shorter string is its own window."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(c) - (n - 1), F.lit(1))), lambda i: F.substring(c, i, F.lit(n))))
-
-
 def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))), F.lit(0.0))
 
 
-def gram_jaccard(x: Column, y: Column) -> Column:
-    return F.when(either_blank(x, y), 0.0).otherwise(jaccard(grams(x), grams(y)))
-
-
 def token_jaccard(x: Column, y: Column) -> Column:
     return F.when(either_blank(x, y), 0.0).otherwise(jaccard(F.array_distinct(tokens(x)), F.array_distinct(tokens(y))))
 

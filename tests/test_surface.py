@@ -128,6 +128,23 @@ def test_ratios_beside_plain_python(spark):
         assert (r.x, r.y) == (pytest.approx(sorted_words(r.a, r.b)), pytest.approx(sets(r.a, r.b))), (r.a, r.b)
 
 
+@pytest.mark.parametrize("alphabet", ["abc ", "ab中\U0001f600é ", "many"])
+def test_gram_jaccards_beside_sets(alphabet, monkeypatch):
+    rnd = random.Random(len(alphabet))
+    letters = alphabet if alphabet != "many" else [chr(i) for i in range(0x4E00, 0x9E00)] + ["a", " "] * 5000
+    pairs = [["".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 2, 3, 4, 30, 200]))) for _ in range(600)] for _ in "ab"]
+    grams = lambda x: {x[i : i + 3] for i in range(max(1, len(x) - 2))}
+    want = [0.0 if not x.strip(" ") or not y.strip(" ") else len(grams(x) & grams(y)) / len(grams(x) | grams(y)) for x, y in zip(*pairs)]
+    assert s.gram_jaccards(*pairs).tolist() == want
+    monkeypatch.setattr(s, "CELLS", 500)
+    assert s.gram_jaccards(*pairs).tolist() == want
+    if alphabet == "many":
+        wide = [x * 40 for x in pairs]
+        monkeypatch.setattr(s, "CELLS", 1 << 30)
+        assert len(set("".join(wide[0]))).bit_length() * 3 + len(wide[0]).bit_length() > 50
+        assert s.gram_jaccards(*wide).tolist() == want * 40
+
+
 def test_lines_are_numbered_over_blocks(spark, tmp_path):
     lines = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
     (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
