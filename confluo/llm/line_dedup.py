@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from confluo.llm.common import MULT, bitmap, documents, drop, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
 
-PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 4
+PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 8
 FLUSH, PER_BUCKET, HOT = 1 << 19, 1 << 16, 1 << 16
 #: Sets above this size carry a map of 128 bits, others one of 64.
 WIDE = 60
@@ -159,11 +159,17 @@ def scanned(rows: DataFrame, flush: int) -> tuple[DataFrame, np.ndarray, int]:
         import pyarrow as pa
 
         form = pa.schema([("slice", pa.int32()), ("block", pa.binary())])
-        at_bucket, counts, waiting, lines = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], []
+        at_bucket, counts, waiting, held, lines = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0, []
 
         def summed():
-            at, back = np.unique(np.concatenate([at_bucket, *(a for a, _ in waiting)]), return_inverse=True)
-            return at, np.bincount(back, np.concatenate([counts, *(c for _, c in waiting)]), len(at)).astype(np.int64)
+            """The buckets met and their counts: those waiting by one sort, then added to the earlier."""
+            new = np.sort(np.concatenate([np.zeros(0, np.uint32), *waiting]))
+            head = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]])) if len(new) else np.zeros(0, np.int64)
+            at, n = new[head], np.diff(head, append=len(new))
+            if not len(at_bucket):
+                return at, n
+            at, back = np.unique(np.concatenate([at_bucket, at]), return_inverse=True)
+            return at, np.bincount(back, np.concatenate([counts, n]), len(at)).astype(np.int64)
 
         def kept():
             """The lines held: all but the first of each set go, and are marked."""
@@ -173,9 +179,10 @@ def scanned(rows: DataFrame, flush: int) -> tuple[DataFrame, np.ndarray, int]:
 
         for batch in batches:
             own = Lines(batch.column("text").to_pylist())
-            waiting.append(np.unique((own.words >> np.uint64(64 - BUCKETS)).astype(np.uint32), return_counts=True))
-            if sum(len(a) for a, _ in waiting) > 1 << 20:
-                (at_bucket, counts), waiting = summed(), []
+            waiting.append((own.words >> np.uint64(64 - BUCKETS)).astype(np.uint32))
+            held += len(waiting[-1])
+            if held > 1 << 23:
+                (at_bucket, counts), waiting, held = summed(), [], 0
             x = np.empty(len(own.n), LINE)
             x["set"], x["number"] = own.set, own.number
             x["doc"], x["mark"] = (batch.column(k).to_numpy()[own.doc] for k in ("doc", "mark"))
@@ -410,11 +417,22 @@ def _pairs(word, n, place, fold, high, percent):
         yield smaller[ok], larger[ok], apart[ok]
 
 
+def _by_word(key: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """The order by (key, set): a plain sort, and a full one of those alone that share a key."""
+    order = np.argsort(key)
+    key = key[order]
+    tie = np.zeros(len(key), bool)
+    tie[1:] = key[1:] == key[:-1]
+    tie[:-1] |= tie[1:]
+    at = np.flatnonzero(tie)
+    order[at] = order[at][np.lexsort((sets[order[at]], key[at]))]
+    return order
+
+
 def matched(x: dict[str, np.ndarray], percent: int, keep: int, asked: bool = False, between: bool = False):
     """late, early (sets), alike (per mille), more: the keep candidates of each late posting that look most alike; with asked those of marked sets, with between those across sides."""
-    order = np.lexsort((x["set"], x["word"].astype(np.int64) << 32 | x["n"]))
-    x = _picked(x, order)
-    new = np.ones(len(order), bool)
+    x = _picked(x, _by_word(x["word"].astype(np.int64) << 32 | x["n"], x["set"]))
+    new = np.ones(len(x["set"]), bool)
     new[1:] = (x["set"][1:] != x["set"][:-1]) | (x["word"][1:] != x["word"][:-1])
     if not new.all():  # a set comes from several tasks: its first line counts
         several = ~new
