@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from confluo.llm.common import MULT, bitmap, documents, drop, free_shuffles, is_marked, map_arrow, mixed, small_batches, span_hashes, utf8, word_spans, written
 
 PERCENT, BUCKETS, SLICES, KEEP = 75, 24, 64, 8
-FLUSH, PER_BUCKET, HOT = 1 << 19, 1 << 16, 1 << 16
+FLUSH, PER_BUCKET, HOT = 1 << 18, 1 << 16, 1 << 16
 #: Sets above this size carry a map of 128 bits, others one of 64.
 WIDE = 60
 BLOCK = 500_000
