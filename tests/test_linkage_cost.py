@@ -62,7 +62,7 @@ def _plan(spark, name):
 
 def test_pairs_are_labelled_while_narrow(spark):
     """No features go through the join with the truth."""
-    for name in ("pair_features",):
+    for name in ("pair_features", "feature_means_by_label"):
         lines = _plan(spark, name).splitlines()
         measured = max(i for i, line in enumerate(lines) if "ArrowEvalPython" in line)
         assert measured < min(i for i, line in enumerate(lines) if "Join" in line), name
