@@ -66,3 +66,7 @@ def test_pairs_are_labelled_while_narrow(spark):
         lines = _plan(spark, name).splitlines()
         measured = max(i for i, line in enumerate(lines) if "ArrowEvalPython" in line)
         assert measured < min(i for i, line in enumerate(lines) if "Join" in line), name
+
+
+def test_description_makes_features_once(spark):
+    assert "name_clean" not in _plan(spark, "feature_describe")
