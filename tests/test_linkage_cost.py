@@ -70,3 +70,7 @@ def test_pairs_are_labelled_while_narrow(spark):
 
 def test_description_makes_features_once(spark):
     assert "name_clean" not in _plan(spark, "feature_describe")
+
+
+def test_summary_makes_scores_once(spark):
+    assert "name_clean" not in _plan(spark, "score_summary")
