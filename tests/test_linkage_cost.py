@@ -74,3 +74,8 @@ def test_description_makes_features_once(spark):
 
 def test_summary_makes_scores_once(spark):
     assert "name_clean" not in _plan(spark, "score_summary")
+
+
+@pytest.mark.parametrize("name", ["grouped_split"])
+def test_split_blocks_once(spark, name):
+    assert "name_clean" not in _plan(spark, name)
