@@ -76,6 +76,6 @@ def test_summary_makes_scores_once(spark):
     assert "name_clean" not in _plan(spark, "score_summary")
 
 
-@pytest.mark.parametrize("name", ["grouped_split"])
+@pytest.mark.parametrize("name", ["grouped_split", "split_leakage"])
 def test_split_blocks_once(spark, name):
     assert "name_clean" not in _plan(spark, name)
