@@ -6,6 +6,7 @@ import time
 import pytest
 
 from confluo.functions import similarity as s
+from confluo.operators import blocking
 from confluo.plans.catalogue import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -79,3 +80,11 @@ def test_summary_makes_scores_once(spark):
 @pytest.mark.parametrize("name", ["grouped_split", "split_leakage"])
 def test_split_blocks_once(spark, name):
     assert "name_clean" not in _plan(spark, name)
+
+
+def test_candidates_shuffle_pairs_once(spark):
+    rows = [("S1-1", "a b", "x y z", "US"), ("S2-1", "a", "x y", "US"), ("S3-1", "q", "x y z", "US")]
+    clean = spark.createDataFrame(rows, "entity_id string, name_clean string, address_clean string, country string")
+    plan = blocking.candidates(clean)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(s1#" in line for line in plan.splitlines()) == 1
+    assert {tuple(r) for r in blocking.candidates(clean).collect()} == {("S1-1", "S2-1", "S2", 0, 1, 1), ("S1-1", "S3-1", "S3", 1, 3, 1)}
