@@ -88,3 +88,44 @@ def test_candidates_shuffle_pairs_once(spark):
     plan = blocking.candidates(clean)._jdf.queryExecution().executedPlan().toString()
     assert sum("Exchange hashpartitioning(s1#" in line for line in plan.splitlines()) == 1
     assert {tuple(r) for r in blocking.candidates(clean).collect()} == {("S1-1", "S2-1", "S2", 0, 1, 1), ("S1-1", "S3-1", "S3", 1, 3, 1)}
+
+
+def _plain_candidates(rows, per_source, cap):
+    """blocking.candidates by loops over rows (id, name, address), one country, no common words."""
+    met = {}
+    for k in (1, 2):
+        words = {}
+        for r in sorted(r for r in rows if not r[0].startswith("S1")):
+            for w in r[k].split():
+                words.setdefault(w, []).append(r[0])
+        for r in (r for r in rows if r[0].startswith("S1")):
+            for w in r[k].split():
+                for other in words.get(w, [])[:cap]:
+                    met.setdefault((r[0], other), {1: 0, 2: 0})[k] += 1
+    out, groups = set(), {}
+    for (s1, cand), n in met.items():
+        if n[1] or n[2] >= blocking.ADDRESS_LEAST:
+            groups.setdefault((s1, cand[:2]), []).append((0 if n[1] else 1, -(n[1] or n[2]), cand))
+    for (s1, src), pairs in groups.items():
+        out |= {(s1, cand, src, method, -less, i) for i, (method, less, cand) in enumerate(sorted(pairs)[:per_source], 1)}
+    return out
+
+
+@pytest.mark.parametrize("per_batch", [1, 7, 10000])
+def test_candidates_meet_in_lists(spark, monkeypatch, per_batch):
+    """Ids go through the join and the shuffle in lists; sums and ranks are those of plain loops, wherever lists and batches end."""
+    rnd = random.Random(per_batch)
+    some = lambda n: " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(n)))
+    rows = [(f"S{i % 3 + 1}-{i}", some(3), some(6)) for i in range(30)]
+    monkeypatch.setattr(blocking, "CHUNK", 3)
+    monkeypatch.setattr(blocking, "FLOOR", 1000)
+    clean = spark.createDataFrame([(*r, "US") for r in rows], "entity_id string, name_clean string, address_clean string, country string")
+    sizes = {len(r.cands) for r in blocking._met_lists(clean, "address_clean", 8).collect()}
+    assert max(sizes) == 3
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    try:
+        got = {tuple(r) for r in blocking.candidates(clean, 4, 8).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert got == _plain_candidates(rows, 4, 8) and got
