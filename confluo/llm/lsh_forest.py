@@ -23,7 +23,7 @@ join two components. Two classes that share a region are thus in one component o
 A pair whose digits agree in under LEAST of SIZE places is not verified: at the threshold of 0.75 the
 agreement is below that with probability under 1e-11, and four digits meet in none of the 32 trees with
 probability 5e-6. First each class's best candidate is verified, then all whose ends are not connected
-yet. Verification counts the shingles that both full sets hold, per hub and salt.
+yet. Verification counts the shingles that both full sets hold.
 The work on unconnected pairs grows with their number: with the square of a group of texts that are alike
 in over about a half, but not enough to be connected.
 
@@ -36,14 +36,14 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from confluo.llm.common import bitmap, documents, drop, is_marked, map_arrow, shingles, utf8, word_hashes, written
-from confluo.llm.graph import components
+from confluo.llm.common import bitmap, documents, drop, is_marked, map_arrow, shingles, small_batches, utf8, word_hashes, written
+from confluo.llm.graph import components, stars
 
 K, SIZE, TREES, DEPTH = 5, 128, 32, 4
-NEAR, CLOSE, DENSE, LEAST, SALT = 7, 1, 16, 62, 256
+NEAR, CLOSE, DENSE, LEAST = 7, 1, 16, 62
 BLOCK, BLOCK_SHINGLES = 4096, 1 << 22
 PERCENT = 75
 
@@ -122,31 +122,35 @@ def _neighbours(order: DataFrame) -> DataFrame:
 
 
 def _leaders(active: DataFrame) -> DataFrame:
-    """a, b: each class with its region's leader, at every depth that applies; and the classes' weights."""
-    weight = active.groupBy("c").agg(F.sum("size").alias("weight"))
+    """a, b: each class with its region's leader, at every depth that applies."""
+    # A class has TREES rows at most.
+    active = active.withColumn("weight", F.sum("size").over(Window.partitionBy("c")))
     deep = [F.when(F.col("size") > DENSE, F.xxhash64("region", F.expr(f"substring(digits, 1, {n})"))) for n in (4, 8, 16)]
-    at = active.select("c", F.explode(F.array_compact(F.array("region", *deep))).alias("region")).join(weight, "c")
+    at = active.select("c", "weight", F.explode(F.array_compact(F.array("region", *deep))).alias("region"))
     lead = at.groupBy("region").agg(F.max(F.struct("weight", "c"))["c"].alias("b"), F.count("*").alias("n")).where("n > 1").select("region", "b")
     return at.select("region", F.col("c").alias("a")).join(lead, "region").select("a", "b")
 
 
 def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """hub, leaf, agree for each pair of classes (c, digits) to be verified."""
+    """leaf, hub (the end with more company over all trees), agree, w (the hub's company) and both texts' marks for each pair of classes (c, mark, digits) to be verified; the classes by region."""
     trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(F.xxhash64(t, F.substring(F.col("twice"), t * 8 + 1, F.lit(8))).alias("region"), F.substring(F.col("twice"), t * 8 + 9, F.lit(16)).alias("digits"), t.alias("tree")))
     rows = classes.select("c", F.concat("digits", "digits").alias("twice")).select("c", F.explode(trees).alias("t")).select("c", "t.region", "t.digits", "t.tree")
     shared = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     active = written(rows.join(shared, "region"), "active")
     pairs = _neighbours(active.select("region", "size", "digits", "c")).union(_leaders(active)).where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    one, two = classes.select(F.col("c").alias("a"), F.col("digits").alias("x")), classes.select(F.col("c").alias("b"), F.col("digits").alias("y"))
+    known = classes.join(active.groupBy("c").agg(F.sum("size").alias("weight")), "c")
+    one, two = (known.select(F.col("c").alias(k), F.col("digits").alias(f"{k}_digits"), F.col("weight").alias(f"{k}_weight"), F.col("mark").alias(f"{k}_mark")) for k in "ab")
 
     def compare(batch):
-        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), ">u2").reshape(-1, SIZE) for k in "xy")
+        x, y = (np.frombuffer(b"".join(batch.column(f"{k}_digits").to_pylist()), ">u2").reshape(-1, SIZE) for k in "ab")
         agree = (x == y).sum(axis=1)
-        keep = agree >= LEAST
-        yield {"a": batch.column("a").to_numpy()[keep], "b": batch.column("b").to_numpy()[keep], "agree": agree[keep].astype(np.int32)}
+        keep = np.flatnonzero(agree >= LEAST)
+        (a, wa, ma), (b, wb, mb) = ([batch.column(c).to_numpy()[keep] for c in (k, f"{k}_weight", f"{k}_mark")] for k in "ab")
+        up = (wa > wb) | (wa == wb) & (a < b)
+        yield {"leaf": np.where(up, b, a), "hub": np.where(up, a, b), "agree": agree[keep].astype(np.int32), "w": np.maximum(wa, wb), "leaf_mark": np.where(up, mb, ma), "hub_mark": np.where(up, ma, mb)}
 
-    likely = map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"), compare, "a long, b long, agree int")
+    likely = map_arrow(pairs.join(one, "a").join(two, "b"), compare, "leaf long, hub long, agree int, w long, leaf_mark long, hub_mark long")
     return written(likely, "pairs"), active
 
 
@@ -214,12 +218,13 @@ def merging(one, two, tree: int, percent: int = PERCENT):
         mine[ids[start[i] : start[i] + n[i]]] = False
 
 
-def unconnected(docs: DataFrame, active: DataFrame, classes: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """a, b: links between components among the classes of dense regions, found by comparing all pairs there that are not connected; None if all are."""
+def unconnected(docs: DataFrame, active: DataFrame, classes: DataFrame, roots: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, tuple[DataFrame, ...]] | None:
+    """a, b: links between components among the classes of dense regions, found by comparing all pairs there that are not connected, and the tables that are read for it; None if all are."""
     jobs = written(_jobs(active, classes, roots), "jobs")
     if jobs.isEmpty():
+        drop(jobs)
         return None
-    sets = _sets(docs, classes, jobs.select("c"))
+    sets = _sets(docs, classes, classes.join(jobs.select("c").distinct(), "c", "left_semi").select("first.mark"))
     dealt = jobs.join(classes.select("c", "digits"), "c").join(sets, "c")
 
     def scan(batches):
@@ -242,37 +247,26 @@ def unconnected(docs: DataFrame, active: DataFrame, classes: DataFrame, roots: D
             yield out()
 
     by = ["region", "tree", "i", "j"]
-    links = written(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "a long, b long"), "unconnected")
-    drop(jobs, sets)
-    return links
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(scan, "a long, b long"), (jobs, sets)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b of the pairs (leaf, hub) whose sets (c, members) are that similar. A hub's pairs are dealt out by salt, and its set goes to each of its salts."""
-    many = pairs.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / SALT).cast("int").alias("salts"))
-    salted = pairs.join(many, "hub").select("leaf", "hub", F.pmod(F.xxhash64("leaf", "hub"), F.col("salts")).cast("int").alias("salt"))
-    leaves = salted.join(sets, F.col("leaf") == F.col("c")).select("hub", "salt", F.col("leaf"), "members")
-    hubs = many.select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(sets, F.col("hub") == F.col("c")).select("hub", "salt", F.lit(None).cast("long").alias("leaf"), "members")
+    """a, b: links that connect what the pairs (leaf, hub) with sets (c, members) that similar connect; a forest of each task's."""
 
-    def scan(batches):
+    def similar(batches):
         import pyarrow as pa
 
-        key, own = None, None
         for batch in batches:
-            a, b = [], []
-            for hub, salt, leaf, members in zip(*(batch.column(k).to_pylist() for k in ("hub", "salt", "leaf", "members"))):
-                s = np.frombuffer(members, np.uint64)
-                if leaf is None:
-                    key, own = (hub, salt), s
-                elif key == (hub, salt):
-                    same = len(np.intersect1d(own, s, assume_unique=True))
-                    if 100 * same >= percent * (len(own) + len(s) - same):
-                        a.append(leaf)
-                        b.append(hub)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            ok = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                same = len(np.intersect1d(one, two, assume_unique=True))
+                ok.append(100 * same >= percent * (len(one) + len(two) - same))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(ok, pa.bool_())) for k in ("leaf", "hub")], ["a", "b"])
 
-    rows = leaves.unionByName(hubs).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("leaf").asc_nulls_first())
-    return written(rows.mapInArrow(scan, "a long, b long"), "links")
+    small_batches(pairs.sparkSession)
+    leaf, hub = (sets.select(F.col("c").alias(k), F.col("members").alias(m)) for k, m in (("leaf", "x"), ("hub", "y")))
+    return pairs.select("leaf", "hub").join(leaf, "leaf").join(hub, "hub").mapInArrow(lambda batches: stars(similar(batches)), "a long, b long")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -286,23 +280,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = written(profiles(docs), "profiles")
     classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("digits").alias("digits"), F.first("n_shingles").alias("n_shingles"))
     classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    pairs, active = candidates(classes.select("c", "digits"))
-    weight = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("w"))
-    left, right = (weight.select(F.col("c").alias(k), F.col("w").alias(w)) for k, w in (("a", "wa"), ("b", "wb")))
-    up = (F.col("wa") > F.col("wb")) | ((F.col("wa") == F.col("wb")) & (F.col("a") < F.col("b")))
-    found, pairs = pairs, written(pairs.join(left, "a").join(right, "b").select(F.when(up, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.when(up, F.col("a")).otherwise(F.col("b")).alias("hub"), "agree", F.greatest("wa", "wb").alias("w")), "pairs")
-    drop(found)
-    sets = _sets(docs, classes, pairs.select(F.explode(F.array("leaf", "hub")).alias("c")))
+    pairs, active = candidates(classes.select("c", "first.mark", "digits"))
+    sets = _sets(docs, classes, pairs.select(F.explode(F.array("leaf_mark", "hub_mark")).alias("mark")))
     # A class's best candidate: the most agreement in steps of eight, then the hub with the most company.
     best = pairs.groupBy("leaf").agg(F.max(F.struct(F.floor(F.col("agree") / 8).alias("step"), "w", "hub"))["hub"].alias("hub"))
-    links = verified(best, sets)
-    roots = components(links)
-    more = verified(written(_apart(pairs.join(best, ["leaf", "hub"], "left_anti"), roots), "apart"), sets)
+    roots = components(verified(best, sets), spanned=True)
+    more = verified(_apart(pairs.join(best, ["leaf", "hub"], "left_anti"), roots), sets)
+    # What is connected is so by its root.
+    roots = components(more.union(roots), spanned=True)
     drop(sets, pairs)
-    links = links.union(more)
-    roots = components(links)
-    if (more := unconnected(docs, active, classes, roots)) is not None:
-        roots = components(links.union(more))
+    if (found := unconnected(docs, active, classes, roots)) is not None:
+        more, read = found
+        roots = components(more.union(roots), spanned=True)
+        drop(*read)
     drop(active)
     named = classes.select("digest", "c", F.col("first.doc_id").alias("doc")).join(roots, F.col("c") == F.col("node"), "left")
     named = named.select("digest", "doc", F.coalesce("root", "c").alias("root"))
@@ -312,10 +302,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "mark", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """c, members for the classes wanted (c), from their first documents' texts, which a scan knows by a bitmap of fixed size."""
-    wanted = written(classes.join(wanted.distinct(), "c", "left_semi").select("c", "first.doc_id", "first.mark"), "wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "mark"))
+def _sets(docs: DataFrame, classes: DataFrame, marks: DataFrame) -> DataFrame:
+    """c, members for the classes of the texts marked (mark), and of some others, from their first documents' texts; a scan knows them by a bitmap of fixed size."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(marks, "mark"))
 
     def work(batch):
         import pyarrow as pa
@@ -324,9 +313,9 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
         yield {k: batch.column(k).take(hit) for k in ("doc_id", "mark")} | {"members": [shingle_set(t).tobytes() for t in batch.column("text").take(hit).to_pylist()]}
 
     rows = docs.select("doc_id", F.xxhash64(utf8()).alias("mark"), utf8().alias("text"))
-    made = map_arrow(rows, work, f"doc_id {dict(docs.dtypes)['doc_id']}, mark long, members binary").join(wanted, ["doc_id", "mark"])
     # Rows that repeat a document give its set once.
-    return written(made.select("c", "members").dropDuplicates(["c"]), "sets")
+    made = map_arrow(rows, work, f"doc_id {dict(docs.dtypes)['doc_id']}, mark long, members binary").dropDuplicates(["doc_id", "mark"])
+    return written(made.join(classes.select("c", "first.doc_id", "first.mark"), ["doc_id", "mark"]).select("c", "members"), "sets")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:

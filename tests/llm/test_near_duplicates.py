@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 
-from confluo.llm import lsh_forest
+from confluo.llm import graph, lsh_forest
 
 
 def boilerplate(pairs=1500, seed=5):
@@ -74,3 +74,24 @@ def test_very_long_texts(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in lsh_forest.near_duplicates(docs).collect()}
     assert got == {1: (59_996, 1), 2: (49_996, 1), 3: (39_996, 1), 4: (1, 4), 5: (1, 4)}
     assert lsh_forest.near_duplicates(docs.where(F.lit(False))).count() == 0
+
+
+def test_components_by_one_task_and_by_rounds(spark):
+    """Paths and random links over several tasks: both ways give the smallest node reachable; few links take few jobs."""
+    rnd = random.Random(2)
+    links = [(k, k + 1) for k in range(0, 60)] + [(rnd.randrange(100, 400), rnd.randrange(100, 400)) for _ in range(180)] + [(7, 7), (None, 5), (500, 500)]
+    rnd.shuffle(links)
+    root = {n: n for pair in links for n in pair if None not in pair and pair[0] != pair[1]}
+    for _ in range(400):
+        for a, b in links:
+            if a in root and b in root:
+                root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    group, tracker = "components", spark.sparkContext.statusTracker()
+    for local in (graph.LOCAL, 0):
+        spark.sparkContext.setJobGroup(f"{group}-{local}", "")
+        got = graph.components(df, local)
+        jobs = len(tracker.getJobIdsForGroup(f"{group}-{local}"))
+        assert {r.node: r.root for r in got.collect()} == root
+        assert not local or jobs <= 6
+    assert graph.components(df.where("a = b")).collect() == []
