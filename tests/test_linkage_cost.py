@@ -7,6 +7,7 @@ import pytest
 
 from confluo.functions import similarity as s
 from confluo.operators import blocking
+from confluo.plans import catalogue
 from confluo.plans.catalogue import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -77,6 +78,25 @@ def test_summary_makes_scores_once(spark):
     assert "name_clean" not in _plan(spark, "score_summary")
 
 
+def test_summary_needs_no_labels(spark, monkeypatch):
+    """Scores come without the truth, and are those of the labelled pairs."""
+    want = sorted(r.score for r in catalogue._cheap(spark, DATA).select("score").collect())
+    monkeypatch.setattr(catalogue.fixture, "truth", None)
+    assert QUERIES["score_summary"](spark, DATA).first().n == len(want)
+    assert sorted(r.score for r in catalogue._scores(spark, DATA).collect()) == want
+
+
+def test_equal_pairs_are_measured_once():
+    seen = []
+
+    def lengths(a, b):
+        seen.append(len(a))
+        return s.np.array([len(x) - len(y) for x, y in zip(a, b)])
+
+    assert s._once(lengths, ["a", "bb", "a", "a"], ["", "b", "", "b"]).tolist() == [1, 1, 1, 0] and seen == [3]
+    assert s._once(lengths, [], []).tolist() == []
+
+
 @pytest.mark.parametrize("name", ["grouped_split", "split_leakage"])
 def test_split_blocks_once(spark, name):
     assert "name_clean" not in _plan(spark, name)
