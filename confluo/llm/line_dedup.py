@@ -47,8 +47,15 @@ LAST = (1 << 63) - 1
 
 
 def _ordered(line: np.ndarray, key: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """The order by (line, key), ties as they come: one sort of packed keys, or a full one where packing makes different words equal."""
+    """The order by (line, key), ties as they come: one sort of packed keys, with the places in their last bits if the rest tells the words apart, or a full one where packing makes different words equal."""
     bits = int(line.max()).bit_length() if len(line) else 0
+    if key is words and 0 < bits and bits + (low := len(line).bit_length()) <= 40:
+        # Values sort several times faster than places do.
+        packed = np.sort(line.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits + low) << np.uint64(low) | np.arange(len(line), dtype=np.uint64))
+        order = (packed & np.uint64((1 << low) - 1)).astype(np.int64)
+        packed >>= np.uint64(low)
+        if not ((packed[1:] == packed[:-1]) & (words[order[1:]] != words[order[:-1]])).any():
+            return order
     packed = line.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits) if bits else key
     order = np.argsort(packed)
     packed, words = packed[order], words[order]

@@ -118,3 +118,14 @@ def test_one_word_in_every_line(spark):
         seen.append(s)
     assert gone == want
     assert docs.where(F.col("doc_id") < 0).count() == 0
+
+
+@pytest.mark.parametrize("low", [0, 30, 60])
+def test_order_is_that_of_a_full_sort(low):
+    """By line, then key, equal ones as they come, also where keys differ in their last bits alone."""
+    rnd = np.random.default_rng(low)
+    line = rnd.integers(0, 300, 5000)
+    words = rnd.integers(0, 1 << 64, 400, dtype=np.uint64)[rnd.integers(0, 400, 5000)] >> np.uint64(low)
+    order = line_dedup._ordered(line, words, words)
+    want = np.lexsort((words, line))
+    assert (line[order] == line[want]).all() and (words[order] == words[want]).all() and len(set(order.tolist())) == 5000
