@@ -149,3 +149,17 @@ def test_candidates_meet_in_lists(spark, monkeypatch, per_batch):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
     assert got == _plain_candidates(rows, 4, 8) and got
+
+
+@pytest.mark.parametrize("per_source", [1, 2, 4, 50])
+def test_sources_that_names_fill_need_no_addresses(spark, monkeypatch, per_source):
+    """Without a cap the lists by address are those of the sources that no name word fills; candidates are those of plain loops."""
+    rnd = random.Random(per_source)
+    some = lambda words, n: " ".join(rnd.choice(words) for _ in range(rnd.randrange(n)))
+    rows = [(f"S{i % 3 + 1}-{i}", some("abcdefghijkl", 4), some("stuvwxyz", 7)) for i in range(60)]
+    monkeypatch.setattr(blocking, "FLOOR", 1000)
+    clean = spark.createDataFrame([(*r, "US") for r in rows], "entity_id string, name_clean string, address_clean string, country string")
+    whole = blocking._met_lists(clean, "address_clean", None).count()
+    fewer = blocking._met_lists(blocking._with_full(clean, "name_clean", per_source, None), "address_clean", None).count()
+    assert fewer < whole if per_source < 50 else fewer == whole
+    assert {tuple(r) for r in blocking.candidates(clean, per_source, None).collect()} == _plain_candidates(rows, per_source, None)
